@@ -15,7 +15,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tidemark.plans import catalog  # noqa: E402
+import __spark_entry__ as catalog  # noqa: E402
 from tidemark.sources.tables import SCHEMAS  # noqa: E402
 
 
@@ -64,7 +64,7 @@ def main():
     parser.add_argument("--only-bad", action="store_true")
     args = parser.parse_args()
     spark, root = local_session(), f"/root/testdata/sf{args.sf}"
-    con, sqls, bad = duck(root), catalog.check_sql(), 0
+    con, sqls, bad = duck(root), catalog.oracle_sql(), 0
     for name, fn in catalog.queries().items():
         if args.prefix and not any(name.startswith(p) for p in args.prefix):
             continue
