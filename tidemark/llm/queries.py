@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontaminate import AGREE, LEAST_INSIDE, MASKS, SHORTEST, SPAN, find_leaks
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.mixing import LARGEST_MEAN, STEPS, mix_sources
+from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.runtime import scratch_path
 
 QUERIES: dict = {}
@@ -122,3 +123,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for it, by an index that begins empty."""
     index = DigestIndex(spark, scratch_path(spark, "digest_index"))
     return index.add(table(spark, sf_dir, "documents"), batch="documents")
+
+
+def token_set(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents encoded with the word tokenizer into files in the shared folder, read back from them."""
+    import public_tokenizers
+
+    folder = scratch_path(spark, "tokens")
+    write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return read_token_files(spark, folder)
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the token files, with a checksum of its ids."""
+    return token_set(spark, table(spark, sf_dir, "documents"))
