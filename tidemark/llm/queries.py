@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import AGREE, LEAST_INSIDE, MASKS, SHORTEST, SPAN, find_leaks
 from tidemark.llm.exact_dedup import DigestIndex
+from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import LARGEST_MEAN, STEPS, mix_sources
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.runtime import scratch_path
@@ -106,6 +107,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_minhash_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate group at similarity 0.85."""
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 _lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
