@@ -9,6 +9,7 @@ from tidemark.llm.decontaminate import AGREE, LEAST_INSIDE, MASKS, SHORTEST, SPA
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import LARGEST_MEAN, STEPS, mix_sources
+from tidemark.llm.quality import score_quality
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.runtime import scratch_path
 
@@ -145,3 +146,9 @@ def token_set(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the token files, with a checksum of its ids."""
     return token_set(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_ftrl")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
