@@ -11,6 +11,7 @@ from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import LARGEST_MEAN, STEPS, mix_sources
 from tidemark.llm.quality import score_quality
 from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.llm.toxicity import score_toxicity
 from tidemark.runtime import scratch_path
 
 QUERIES: dict = {}
@@ -152,3 +153,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its quality score."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_toxicity_string_kernel")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
