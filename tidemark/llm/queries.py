@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import AGREE, LEAST_INSIDE, MASKS, SHORTEST, SPAN, find_leaks
 from tidemark.llm.exact_dedup import DigestIndex
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import LARGEST_MEAN, STEPS, mix_sources
 from tidemark.llm.quality import score_quality
@@ -159,3 +160,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its toxicity score."""
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_html_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
