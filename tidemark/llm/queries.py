@@ -11,6 +11,7 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import LARGEST_MEAN, STEPS, mix_sources
 from tidemark.llm.quality import score_quality
+from tidemark.llm.substring_dedup import repeated_spans
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.toxicity import score_toxicity
 from tidemark.runtime import scratch_path
@@ -166,3 +167,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op3_repeated_passages")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every long passage of a document that another document holds too."""
+    return repeated_spans(table(spark, sf_dir, "documents")).drop("row")
