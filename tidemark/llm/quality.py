@@ -225,12 +225,21 @@ def score_quality(
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, text: str = "text", **options) -> DataFrame:
-    """The documents whose score reaches the threshold; columns stay as they are.
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    folds: int = 4,
+    held: int = 2,
+    threshold: float = 0.7,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    most: int = MOST_LABELLED,
+) -> DataFrame:
+    """The documents whose score, as in `score_quality`, reaches the threshold; columns stay as they are.
 
     Without any label nothing can be judged and all documents stay.
     """
-    weights = fit(docs, labels, F.lit(False), text=text, **options)
+    weights = fit(docs, labels, fold_of(F.col("doc_id"), folds, held), doc_id=doc_id, text=text, most=most)
     if not any(weights):
         return docs
     score = fresh(docs, "td_score")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontaminate import AGREE, LEAST_INSIDE, MASKS, SHORTEST, SPAN, find_leaks
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.html_text import extract_text
+from tidemark.llm.license_texts import KNOWN, SPELLINGS
+from tidemark.llm.licenses import COPYRIGHT_LINE, PARAGRAPH_END, SCOPES, SENTENCE_END, find_licenses
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import LARGEST_MEAN, STEPS, mix_sources
 from tidemark.llm.quality import score_quality
@@ -111,6 +113,39 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _canonical(text: str) -> str:
+    out = f"lower(regexp_replace({text}, '{COPYRIGHT_LINE}', '', 'g'))"
+    for found, read in SPELLINGS:
+        out = f"replace({out}, '{found}', '{read}')"
+    return f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query(
+    "op5_license_scan",
+    f"""
+    WITH known(license, text) AS (VALUES {", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, t in KNOWN)}),
+    digests AS (SELECT DISTINCT license, sha256({_canonical("text")}) AS digest FROM known),
+    d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    parts AS (
+      SELECT doc_id, 0 AS scope, text AS passage FROM d
+      UNION ALL SELECT doc_id, 1, unnest(regexp_split_to_array(text, '{PARAGRAPH_END}')) FROM d
+      UNION ALL SELECT doc_id, 2, unnest(string_split(text, chr(10))) FROM d
+      UNION ALL SELECT doc_id, 3, unnest(string_split(regexp_replace(text, '{SENTENCE_END}', '\1' || chr(10), 'g'), chr(10))) FROM d
+    ), found AS (
+      SELECT doc_id, license, min(scope) AS scope FROM parts JOIN digests ON digest = sha256({_canonical("passage")}) GROUP BY 1, 2
+    )
+    SELECT doc_id, license, [{", ".join(map(_quoted, SCOPES))}][scope + 1] AS scope FROM found
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The known licences of every document."""
+    return find_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op6_minhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate group at similarity 0.85."""
