@@ -45,22 +45,19 @@ LOG_SQL = """
 def order_changes(t: Tables) -> DataFrame:
     """A change log of the orders: created as P, settled later, some deleted at the end."""
     o = t.orders.withColumn("ms", F.unix_millis(F.col("o_orderdate").cast("timestamp")))
-    created = F.struct(F.col("o_orderkey"), F.lit("P"), F.col("o_totalprice"))
-    settled = F.struct(F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice"))
-    none = F.lit(None)
-    day = 86_400_000
-    steps = F.array(
-        F.struct(none.alias("before"), created.alias("after"), F.lit("c").alias("op"), F.col("ms").alias("ts_ms")),
-        F.struct(created, settled, F.lit("u"), F.col("ms") + day),
-        F.struct(settled, none, F.lit("d"), F.col("ms") + 2 * day),
-    )
-    shape = (
-        "array<struct<before: struct<order_id: long, status: string, amount: double>, "
-        "after: struct<order_id: long, status: string, amount: double>, op: string, ts_ms: long>>"
-    )
+    image = "struct<order_id: long, status: string, amount: double>"
+    created = F.struct(F.col("o_orderkey"), F.lit("P"), F.col("o_totalprice")).cast(image)
+    settled = F.struct(F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice")).cast(image)
+    none = F.lit(None).cast(image)
+
+    def change(before, after, op: str, days: int):
+        ms = F.col("ms") + days * 86_400_000
+        return F.struct(before.alias("before"), after.alias("after"), F.lit(op).alias("op"), ms.alias("ts_ms"))
+
+    steps = F.array(change(none, created, "c", 0), change(created, settled, "u", 1), change(settled, none, "d", 2))
     happened = F.array_compact(
         F.transform(
-            steps.cast(shape),
+            steps,
             lambda s: F.when(
                 (s.op == "c")
                 | ((s.op == "u") & (F.col("o_orderstatus") != "P"))

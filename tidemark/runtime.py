@@ -31,16 +31,18 @@ def local_session(app: str = "tidemark", cores: str = "8") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+    """The folder every executor can reach: an explicit checkpoint folder, else the one the session names.
 
-    Where the session names none (tests, a laptop) a temporary folder stands in.
+    Where there is neither, a temporary folder stands in on a single machine (tests, a laptop); on a
+    cluster each executor would write to its own disk, so that is an error.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None)
-    if configured:
-        return configured
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    folder = context.getCheckpointDir() or spark.conf.get(CHECKPOINT_KEY, None)
+    if folder:
+        return folder
+    if not context.master.startswith("local[") and context.master != "local":
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
     return context.getCheckpointDir()
 
 

@@ -28,8 +28,18 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, per_trigger: int
 
 
 def parse_json_value(df: DataFrame, schema: str, event_time: str | None = None, delay: str = "5 seconds") -> DataFrame:
-    """`value` bytes or text to typed columns, with a watermark when an event time is named."""
-    rows = df.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+    """`value` bytes or text to typed columns and `rejected`: the text of a message that is no JSON object of the schema.
+
+    With an event time the rows get a watermark; rows without that time can't be placed and are rejected too.
+    """
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, f"{schema}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
+    rows = df.select(text.alias("_text"), parsed.alias("r"))
+    broken = F.col("r").isNull() | F.col("r._broken").isNotNull()
+    if event_time:
+        broken = broken | F.col(f"r.{event_time}").isNull()
+    rejected = F.when(broken, F.coalesce("_text", F.lit(""))).alias("rejected")
+    rows = rows.select("r.*", rejected).drop("_broken")
     return rows.withWatermark(event_time, delay) if event_time else rows
 
 

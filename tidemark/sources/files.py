@@ -20,25 +20,26 @@ def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.option("header", True).option("sep", sep).csv(path)
 
 
-def read_with_rejects(spark: SparkSession, path: str, schema: str, sep: str = ",") -> tuple[DataFrame, DataFrame]:
-    """Bulk load that keeps bad rows: (typed rows, raw text of the rejected lines)."""
-    declared = T.StructType.fromDDL(schema)
-    header = sep.join(declared.fieldNames())
-    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_csv("value", f"{schema}, {CORRUPT} string", options)
-    rows = spark.read.text(path).filter(F.col("value") != header).select(parsed.alias("r"))
-    good = rows.filter(F.col(f"r.{CORRUPT}").isNull()).select(*(f"r.{c}" for c in declared.fieldNames()))
-    return good, rows.filter(F.col(f"r.{CORRUPT}").isNotNull()).select(f"r.{CORRUPT}")
-
-
-def cast_staged(staged: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Cast text columns; rows with a value that does not fit its type go to the second frame."""
-    failed = F.lit(False)
+def read_with_rejects(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
+    """Bulk load in one pass that keeps bad rows: the typed columns and CORRUPT, the text of a row that does not fit.
+
+    The reader itself takes the header of each file and joins records with line ends in quotes. Blank lines are no rows.
+    Filter on CORRUPT for the loaded or the rejected rows, or write partitioned by whether it is set.
+    """
+    reader = spark.read.schema(f"{schema}, {CORRUPT} string").options(header=True, sep=sep, multiLine=True)
+    rows = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).csv(path)
+    # The reader checks only columns that are used. The hash uses them all, and is never this number but for chance.
+    every = F.xxhash64(*T.StructType.fromDDL(schema).fieldNames()) == F.lit(-(2**63))
+    return rows.withColumn(CORRUPT, F.coalesce(F.col(CORRUPT), F.when(every, F.lit(""))))
+
+
+def cast_staged(staged: DataFrame, types: dict[str, str], failed: str = "failed") -> DataFrame:
+    """Cast text columns in one pass; `failed` marks rows with a value that does not fit its type (it becomes NULL)."""
+    bad = F.lit(False)
     for name, kind in types.items():
-        failed = failed | (F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull())
+        bad = bad | (F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull())
     typed = [F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in staged.columns]
-    marked = staged.withColumn("_failed", failed)
-    return marked.filter(~F.col("_failed")).select(*typed), marked.filter("_failed").drop("_failed")
+    return staged.select(*typed, bad.alias(failed))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

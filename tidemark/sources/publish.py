@@ -8,9 +8,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.runtime import scratch_path
-from tidemark.sources.files import overwrite_touched, write_partitioned
+from tidemark.sources import files
 
 LAYERS = ("raw", "silver", "gold", "ai")
 
@@ -59,56 +60,88 @@ class LayerPaths:
 
 @dataclass(frozen=True)
 class StoredSummary:
-    """A query result kept as files, recomputed whole or for the touched partitions only."""
+    """A query result kept as files, recomputed whole or for the touched periods only.
+
+    `period` is a coarse, never-NULL column of what `build` returns. Each refresh writes new folders, one for a
+    period and version, and then notes the periods it stands for; readers take the newest noted version of a
+    period. A period that has become empty is noted without rows, so its old rows are no longer read.
+    """
 
     spark: SparkSession
     path: str
-    by: str
+    period: str
+    schema: str
     build: Callable[[DataFrame], DataFrame]
 
+    def _notes(self) -> DataFrame:
+        kind = f"{self._kind()}, version long"
+        self.spark.createDataFrame([], kind).write.mode("ignore").parquet(f"{self.path}/notes/first")
+        return self.spark.read.schema(kind).option("recursiveFileLookup", True).parquet(f"{self.path}/notes")
+
+    def _kind(self) -> str:
+        field = StructType.fromDDL(self.schema)[self.period]
+        return f"{self.period} {field.dataType.simpleString()}"
+
+    def _write(self, rows: DataFrame, periods: DataFrame) -> None:
+        version = self._notes().agg(F.coalesce(F.max("version"), F.lit(-1)) + 1).first()[0]
+        stamped = rows.withColumn("version", F.lit(version))
+        files.write_partitioned(stamped, f"{self.path}/rows", [self.period, "version"], mode="append")
+        noted = periods.select(self.period).distinct().withColumn("version", F.lit(version).cast("long"))
+        noted.write.parquet(f"{self.path}/notes/v{version}")
+
     def refresh(self, source: DataFrame) -> None:
-        write_partitioned(self.build(source), self.path, [self.by])
+        known = self._notes().select(self.period)
+        self._write(self.build(source), known.union(source.select(self.period)))
 
     def refresh_touched(self, source: DataFrame, changed: DataFrame) -> None:
-        """Recompute the groups named in `changed[by]`; other partitions keep their files."""
-        keys = changed.select(self.by).distinct()
-        touched = self.build(source.join(keys, self.by, "left_semi"))
-        overwrite_touched(touched, self.path, [self.by])
+        """Recompute the periods of `changed`; a source partitioned by period is read for these only."""
+        touched = changed.select(self.period).distinct()
+        self._write(self.build(source.join(touched, self.period, "left_semi")), touched)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        newest = self._notes().groupBy(self.period).agg(F.max("version").alias("version"))
+        rows = self.spark.read.schema(f"{self.schema}, version long").parquet(f"{self.path}/rows")
+        return rows.join(newest, [self.period, "version"]).drop("version")
 
 
-def merge_partials(stored: DataFrame, arrived: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Add newly arrived partial sums to the stored ones."""
-    both = stored.unionByName(arrived)
-    return both.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in sums))
+def merge_partials(partials: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """One row per key from the partial sums of several arrivals."""
+    return partials.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in sums))
 
 
 @dataclass(frozen=True)
-class VersionedStore:
-    """A keyed table that a stream republishes, one folder per micro-batch.
+class DeltaStore:
+    """A keyed table that a stream feeds: one delta per micro-batch, merged when it is read.
 
-    A version is written to a new folder and never over the one it was read from, so a
-    replayed batch rebuilds its own folder from the version before it.
+    A batch costs what it brings. It writes its own folder, so a replayed batch replaces its own rows.
+    `compact` merges what is there into a base; later reads take the newest base and younger deltas.
     """
 
     spark: SparkSession
     path: str
     schema: str
+    merge: Callable[[DataFrame], DataFrame]
 
-    def _versions(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], f"{self.schema}, version long")
-        empty.write.mode("ignore").partitionBy("version").parquet(f"{self.path}/version=-1")
-        return self.spark.read.schema(f"{self.schema}, version long").parquet(self.path)
+    def add(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch_id}")
 
-    def before(self, version: int) -> DataFrame:
-        """The newest version older than `version`."""
-        rows = self._versions().filter(F.col("version") < version)
-        return rows.filter(F.col("version") == rows.agg(F.max("version")).scalar()).drop("version")
+    def _bases(self) -> DataFrame:
+        self.spark.createDataFrame([], "upto long").write.mode("ignore").parquet(f"{self.path}/notes/first")
+        return self.spark.read.schema("upto long").option("recursiveFileLookup", True).parquet(f"{self.path}/notes")
 
-    def publish(self, rows: DataFrame, version: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+    def _raw(self) -> DataFrame:
+        base = self._bases().agg(F.max("upto")).first()[0]
+        self.spark.createDataFrame([], self.schema).write.mode("ignore").parquet(f"{self.path}/deltas/batch=-1")
+        deltas = self.spark.read.schema(f"{self.schema}, batch long").parquet(f"{self.path}/deltas")
+        if base is None:
+            return deltas.drop("batch")
+        kept = self.spark.read.schema(self.schema).parquet(f"{self.path}/bases/upto={base}")
+        return kept.unionByName(deltas.filter(F.col("batch") > base).drop("batch"))
+
+    def read(self) -> DataFrame:
+        return self.merge(self._raw())
 
-    def latest(self) -> DataFrame:
-        return self.before(2**62)
+    def compact(self, upto: int) -> None:
+        """Merge every delta up to a finished batch. The base is noted after it is written."""
+        self.read().write.mode("overwrite").parquet(f"{self.path}/bases/upto={upto}")
+        self.spark.createDataFrame([(upto,)], "upto long").write.mode("overwrite").parquet(f"{self.path}/notes/n{upto}")

@@ -6,17 +6,22 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.runtime import scratch_path
 
 
-def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """New files below `path` as a stream.
-
-    A stream takes a folder or a pattern but no single file; the last character is
-    written as a pattern so that one path form serves both.
-    """
-    return spark.readStream.schema(schema).format(fmt).load(f"{path[:-1]}[{path[-1]}]")
+def file_stream(
+    spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_trigger: int | None = None
+) -> DataFrame:
+    """New files of a folder as a stream, or one file of it. `files_per_trigger` bounds a micro-batch."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        reader, path = reader.option("pathGlobFilter", place.getName()), place.getParent().toString()
+    return reader.load(path)
 
 
 def event_stream(spark: SparkSession, path: str, schema: str, event_time: str, delay: str = "5 seconds") -> DataFrame:
@@ -40,7 +45,7 @@ def append_files(
     """Append to Parquet files with a checkpoint; a restart resumes where the last run ended."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
     _finish(writer.partitionBy(*partition_by) if partition_by else writer, checkpoint)
-    return stream.sparkSession.read.parquet(path)
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
 def each_batch(
@@ -60,16 +65,21 @@ def final_state(stream: DataFrame, label: str, keys: Sequence[str] = ()) -> Data
     spark, root = stream.sparkSession, scratch_path(stream.sparkSession, label)
     out = f"{root}/out"
 
+    last = [-1]
+
     def write(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        last[0] = max(last[0], batch_id)
 
     each_batch(stream, write, f"{root}/checkpoint", "update" if keys else "complete")
-    written = spark.read.parquet(out)
+    if last[0] < 0:  # no input at all
+        return spark.createDataFrame([], stream.schema)
     if keys:
-        columns = [c for c in written.columns if c != "batch"]
-        latest = written.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch").alias("row"))
+        typed = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+        rows = spark.read.schema(typed).parquet(out)
+        latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*stream.columns), "batch").alias("row"))
         return latest.select("row.*")
-    return written.filter(F.col("batch") == written.agg(F.max("batch")).scalar()).drop("batch")
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch={last[0]}")
 
 
 def appended(stream: DataFrame, label: str) -> DataFrame:
