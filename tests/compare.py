@@ -13,7 +13,7 @@ from pathlib import Path
 
 import duckdb
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1])]
 
 import __spark_entry__ as catalog  # noqa: E402
 from tidemark.sources.tables import SCHEMAS  # noqa: E402
