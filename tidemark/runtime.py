@@ -60,7 +60,7 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimiser's size estimate for a plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
