@@ -5,8 +5,8 @@ the second, shifted circularly by k, gives coordinate k. Bands of coordinates na
 Every link is confirmed on full shingle sets.
 
 Copies never meet in pairs. Documents with equal sets are one class, made by an aggregate with
-map-side combine. In a bucket, classes are first compared with one centre; components of these links
-then settle most of the bucket, and only members of different components are compared further.
+map-side combine. In a bucket, classes are first compared with one centre; components of these links settle
+most buckets, and classes of one centre that are still apart are compared in blocks.
 """
 
 from __future__ import annotations
@@ -27,6 +27,9 @@ BANDS, ROWS = 24, 4
 #: Coordinates x shingles that are hashed at a time.
 BLOCK = 1 << 18
 
+#: Classes of a centre that are dealt to one block, and shingles that are compared at a time.
+BLOCK_SIZE, COLUMNS = 256, 4096
+
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SCATTER, _SHIFT, _BAND = np.uint64(0x8C71D06EB5A3F24B), np.uint64(0x5851F42D4C957F2D), np.uint64(0xD1342543DE82EF95)
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], "u8")
@@ -107,18 +110,21 @@ def sketch(docs: DataFrame, doc_id: str, text: str, bands: int, rows: int) -> Da
     return chosen.mapInArrow(run, schema)
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets have 100 * |a and b| >= percent * |a or b|.
-
-    The sets are computed again from the texts where a pair meets, as a text is smaller than the
-    hashes of its shingles.
-    """
+def texts_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """class and text of every class in `pairs`. A text is smaller than the hashes of its shingles."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     asked = written(asked.join(classes.select("class", F.col("least.row").alias("row")), "class"), "near_asked")
     texts = docs.select(row_key(doc_id, text).alias("row"), whole_text(col(text)).alias("text"))
     # One of repeated rows is enough.
     texts = texts.join(asked.hint("merge"), "row").select("class", "text").dropDuplicates(["class"])
-    texts = written(texts, "near_texts")
+    return written(texts, "near_texts")
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets have 100 * |a and b| >= percent * |a or b|.
+
+    The sets are computed again from the texts where a pair meets.
+    """
     first = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
     # A centre that many members are compared with is split by the adaptive planner.
@@ -164,43 +170,76 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def meeting(classes: DataFrame, names: list[str]) -> DataFrame:
-    """class, n_shingles, bucket and the bucket's centre, for buckets with more than one class.
+    """Pairs (a, b): the centre of a bucket and each other class in it, for buckets with more than one class.
 
     The centre is the class that meets the most others over all its buckets: the original among edited copies.
     """
-    banded = classes.select("class", "n_shingles", F.explode(F.array(*names)).alias("bucket"))
+    banded = classes.select("class", F.explode(F.array(*names)).alias("bucket"))
     buckets = written(banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     inside = written(banded.join(buckets.hint("merge"), "bucket"), "bucket_members")
     weights = written(inside.groupBy("class").agg(F.sum("n").alias("weight")), "class_weights")
-    weighed = inside.drop("n").join(weights.hint("merge"), "class")
-    weighed = written(weighed, "bucket_members")
+    weighed = written(inside.drop("n").join(weights.hint("merge"), "class"), "bucket_members")
     centres = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "class")).alias("most"))
     centres = written(centres.select("bucket", F.col("most.class").alias("centre")), "bucket_centres")
-    return written(weighed.drop("weight").join(centres.hint("merge"), "bucket"), "bucket_centred")
-
-
-def still_apart(inside: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket, are in different components, and were not compared with a centre yet.
-
-    Pairs whose sizes rule a link out are left out, which loses none.
+    centred = weighed.join(centres.hint("merge"), "bucket").filter("class <> centre")
+    return centred.select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct()
+
+
+def links_inside(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, labels: np.ndarray, percent: int) -> np.ndarray:
+    """Rows (i, j), i of `left` and j of `right`, of sets that are linked and have different labels."""
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    tokens, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = np.cumsum(times > 1) - 1
+    kept = times[place] > 1
+    owner, place = owner[kept], often[place[kept]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    both = np.zeros((len(left), len(right)), "f4")
+    for low in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        at, end = np.searchsorted(place, (low, low + COLUMNS))
+        held = np.zeros((len(sets), COLUMNS), "f4")
+        held[owner[at:end], place[at:end] - low] = 1
+        both += held[left] @ held[right].T
+    either = sizes[left][:, None] + sizes[right][None] - both
+    found = (100 * both >= percent * either) & (labels[left][:, None] != labels[right][None])
+    i, j = np.nonzero(found)
+    return np.column_stack((left[i], right[j]))
+
+
+def compare_rest(stars: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between classes that met one centre but are in different components so far.
+
+    Two classes that share a bucket share its centre, so no candidate is missed. The classes of a centre are dealt
+    to blocks of about BLOCK_SIZE, and each pair of blocks is compared in one task, which returns links only: a
+    large group costs many bounded tasks, and none of its pairs is a row. Centres whose classes are all of one
+    component are settled and left out.
     """
     own = F.coalesce("component", "class").alias("component")
-    labelled = inside.join(labels.hint("merge"), "class", "left").select("class", "n_shingles", "bucket", "centre", own)
-    labelled = written(labelled, "bucket_labels")
-    open_ = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = written(open_.filter("low <> high").select("bucket"), "open_buckets")
-    members = written(labelled.join(open_.hint("merge"), "bucket"), "open_members")
-    x, y = members.alias("x"), members.alias("y")
-    apart = (
-        (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.class") < F.col("y.class"))
-        & (F.col("x.component") != F.col("y.component"))
-        & (F.col("x.class") != F.col("x.centre"))
-        & (F.col("y.class") != F.col("y.centre"))
-        & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
+    met = stars.select(F.col("a").alias("centre"), F.col("b").alias("class"))
+    met = written(met.join(labels.hint("merge"), "class", "left").select("centre", "class", own), "star_labels")
+    sizes = met.groupBy("centre").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    pairs = x.join(y.hint("merge"), apart)
-    return pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK_SIZE)).cast("int").alias("blocks")
+    open_ = written(sizes.filter("low <> high").select("centre", blocks), "open_centres")
+    members = met.join(open_.hint("merge"), "centre")
+    members = members.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    held = written(members.join(texts.hint("merge"), "class"), "open_members")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = held.withColumn("other", other).select(
+        "centre", "class", "component", "text", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, labels_ = table.column("class").to_numpy(), table.column("component").to_numpy()
+        sets = [shingles(t.as_py()) for t in table.column("text")]
+        own_, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
+        left, right = np.flatnonzero(own_ == i[0]), np.flatnonzero(own_ == j[0])
+        found = links_inside(sets, left, right, labels_, percent) if len(left) and len(right) else np.empty((0, 2), "i8")
+        return pa.table({"a": ids[found[:, 0]], "b": ids[found[:, 1]]})
+
+    return written(dealt.groupBy("centre", "i", "j").applyInArrow(run, "a long, b long"), "near_links")
 
 
 def near_duplicates(
@@ -229,18 +268,13 @@ def near_duplicates(
     classes = filled.groupBy("class", "n_shingles", *names).agg(F.min(member).alias("least"))
     classes = written(classes, "set_classes")
 
-    inside = meeting(classes, names)
-    stars = inside.filter("class <> centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct()
-    stars = written(stars, "near_stars")
-    links = confirm(stars, classes, docs, doc_id, text, percent)
+    stars = written(meeting(classes, names), "near_stars")
+    texts = texts_of(stars, classes, docs, doc_id, text)
+    links = confirm(stars, texts, percent)
     labels = components(links)
-    rest = written(still_apart(inside, labels, percent), "near_rest")
-    rest = written(rest.join(stars.hint("merge"), ["a", "b"], "left_anti"), "near_rest")
-    rest = rest.join(stars.select(F.col("b").alias("a"), F.col("a").alias("b")).hint("merge"), ["a", "b"], "left_anti")
-    rest = written(rest, "near_rest")
-    if not rest.isEmpty():
-        links = written(links.union(confirm(rest, classes, docs, doc_id, text, percent)), "near_links")
-        labels = components(links)
+    more = compare_rest(stars, labels, texts, percent)
+    if not more.isEmpty():
+        labels = components(links.union(more))
 
     # A group's least member, then each class with its own or its group's.
     grouped = classes.select("class", "least").join(labels, "class", "left")
