@@ -52,6 +52,8 @@ NAMES = frozenset(
     "overlay newsletter subscribe subscription social share sharing related recommended recommendations comment comments "
     "disqus replies widget toolbar pagination pager login signup search skip".split()
 )
+#: They are menus if nearly all of their text is in three links or more.
+LISTS = frozenset("ul ol dl table div section p".split())
 HEADERS = frozenset(("header", "topbar"))
 HOLDERS = frozenset(("article", "main"))
 KEPT = HOLDERS | {"html", "body", "#root"}
@@ -165,6 +167,9 @@ def measure(nodes: list[Node]) -> None:
         node.chars += sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.link_tags + 1
+        node.noise = node.tag in LISTS and not node.holds and node.link_tags > 2 and node.link_chars >= 0.9 * node.chars
+        if node.noise:
+            continue
         up = node.parent
         if up is not None:
             up.chars += node.chars
@@ -202,16 +207,13 @@ def content(nodes: list[Node]) -> list[Node]:
         node = node.parent
     if holder is not None:
         return [holder]
-    threshold = min((n.density for n in path), default=0.0)
-    out: list[Node] = []
-    chosen: set[int] = set()
-    for n in nodes:
-        if n.parent is not None and id(n.parent) in chosen:
-            chosen.add(id(n))
-        elif not n.noise and n.chars and (n is best or (n.density >= threshold and n.tag not in ("html", "body", "#root") and n not in path)):
-            out.append(n)
-            chosen.add(id(n))
-    return out if path else [best]
+    if not path:
+        return [best]
+    threshold = min(n.density for n in path)
+    top = path[-1]
+    # Beside the container of the best, what is as dense as its path.
+    near = [n for n in inside if n.parent is top.parent and n.chars and (n is top or n.density >= threshold)]
+    return near or [top]
 
 
 def blocks(top: Node) -> list[str]:
@@ -254,8 +256,8 @@ def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     """page_id, url, text, n_chars (code points) for every page.
 
     The article is the element of largest density sum, widened to the `article` or `main` that it is in; without
-    such, also other elements at least as dense as the least dense one on the path from the body to it.
-    Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out by
+    such, to its container below the body, with the containers that are at least as dense as the least dense
+    element on the path from the body to it. Lists of links, menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out by
     element, role and name. Character references are decoded, white space in a block becomes one space,
     blocks are joined by a line end.
 

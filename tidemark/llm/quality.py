@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import col, fresh
 
@@ -174,26 +175,29 @@ def fit(
 
     vectors = rows.mapInArrow(hashed, "turn long, label int, places array<int>, vals array<float>")
     one = vectors.repartition(1).sortWithinPartitions("turn", F.xxhash64("places"), "label")
-    return bytes(one.mapInArrow(train, "weights binary").collect()[0].weights)
+    fitted = one.mapInArrow(train, "weights binary").collect()
+    return bytes(fitted[0].weights) if fitted else bytes(4 * (2**bits + 1))
 
 
 def with_score(docs: DataFrame, weights: bytes, score: str, text: str = "text") -> DataFrame:
     """`docs` with the column `score`: the probability of label 1 for each whole text."""
     bits = (len(weights) // 4 - 1).bit_length() - 1
 
+    place = docs.columns.index(text)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, features = np.frombuffer(weights, "<f4").astype(float), Features(bits)
         for batch in batches:
             out = []
-            for t in batch.column(text):
+            for t in batch.column(place):
                 places, values = features(t.as_py())
                 out.append(float(logistic(w[places] @ values + w[-1])))
-            yield batch.append_column(score, pa.array(out, pa.float64()))
-
-    from pyspark.sql.types import DoubleType, StructField, StructType
+            yield batch.append_column("score", pa.array(out, pa.float64()))
 
-    schema = StructType([*docs.schema.fields, StructField(score, DoubleType())])
-    return docs.mapInArrow(run, schema)
+    # Plain names for the way through Arrow, whatever the columns are called.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(run, schema).toDF(*docs.columns, score)
 
 
 def fold_of(doc_id: Column, folds: int, held: int) -> Column:

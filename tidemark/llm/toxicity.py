@@ -31,6 +31,8 @@ LANDMARKS = 192
 ROUNDS = 3
 #: A word can be at fault only if the log-odds of its use in toxic against clean texts are larger.
 SUSPECT = 1.5
+#: Standard errors that the odds of a landmark are lowered by.
+CHANCE = 1.4
 #: The words of clean texts that the machine is fitted on: the most frequent, and then those it gets wrong.
 CLEAN_WORDS = 8_000
 BITS = 20
@@ -189,8 +191,9 @@ def train(texts: list[str | None], labels: list[int]) -> Machine:
         met[label].update(words)
     n1, n0 = y.sum(), (1 - y).sum()
     odds = {w: np.log((k + 0.5) / (n1 + 1)) - np.log((met[0][w] + 0.5) / (n0 + 1)) for w, k in met[1].items()}
-    least = max(2, n1 / 500)
-    suspect = sorted((w for w, k in met[1].items() if k >= least and odds[w] > SUSPECT), key=lambda w: (-met[1][w] * odds[w], w))
+    # Landmarks and the first round take words whose odds are large beyond chance.
+    sure = {w: odds[w] - CHANCE * np.sqrt(1 / (k + 0.5) + 1 / (met[0][w] + 0.5)) for w, k in met[1].items()}
+    suspect = sorted((w for w in sure if sure[w] > SUSPECT), key=lambda w: (-met[1][w] * odds[w], w))
     if not suspect:
         return flat
     common = sorted(met[0], key=lambda w: (-met[0][w], w))
@@ -226,8 +229,8 @@ def train(texts: list[str | None], labels: list[int]) -> Machine:
 
     negatives = [w for w in common if odds.get(w, -9) < SUSPECT / 2][:CLEAN_WORDS]
     toxic = [i for i, label in enumerate(labels) if label]
-    chosen = {i: max(held[i], key=lambda w: (odds.get(w, -9), w)) for i in toxic if held[i]}
-    chosen = {i: w for i, w in chosen.items() if odds[w] > SUSPECT}
+    chosen = {i: max(held[i], key=lambda w: (sure.get(w, -9), w)) for i in toxic if held[i]}
+    chosen = {i: w for i, w in chosen.items() if sure[w] > SUSPECT}
     model = flat
     for _ in range(ROUNDS):
         positives = sorted(set(chosen.values()))
@@ -275,7 +278,8 @@ def fit(
         yield pa.RecordBatch.from_pydict({"model": [train(texts, marks).pack()]})
 
     one = rows.repartition(1).sortWithinPartitions("turn", "text", "label")
-    return bytes(one.mapInArrow(run, "model binary").collect()[0].model)
+    fitted = one.mapInArrow(run, "model binary").collect()
+    return bytes(fitted[0].model) if fitted else train([], []).pack()
 
 
 def score_toxicity(
