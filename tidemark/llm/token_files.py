@@ -15,11 +15,13 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,9 +33,9 @@ NO_ID = -(2**63)
 #: Bytes of text that are encoded at a time, unless one document alone is longer.
 BLOCK = 4_000_000
 #: Different words a worker remembers the ids of; beyond it the memory starts anew.
-REMEMBERED = 300_000
-#: White space at which a text may be cut without touching a token.
-CUTS = str.maketrans("\n\t\r", "   ")
+REMEMBERED = 800_000
+#: Marks that are cut from the end of a word.
+MARKS = ".,!?;:*%$&#|"
 
 
 def storage(vocabulary: int) -> str:
@@ -48,36 +50,95 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
 class WordEncoder:
     """Encodes whole texts with a tokenizer whose tokens never span white space.
 
-    Such a tokenizer gives a text the ids of its words one after another, so each different word is
-    encoded once for as long as it is remembered. `white_space_apart` says whether a tokenizer is of that kind.
+    Such a tokenizer gives a text the ids of its words one after another, so each different word is encoded once
+    for as long as it is remembered, and the words of a block of texts are numbered by Arrow. Words are further cut
+    where marks end them, and A-Z lower-cased for a tokenizer that does so; neither changes the ids.
+    `white_space_apart` says whether a tokenizer is of that kind; texts are encoded whole if it is not.
     """
 
     def __init__(self, path: str, end: int | None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = [] if end is None else [end]
-        self.known: dict[str, list[int]] = {}
         self.apart = white_space_apart(self.tokenizer)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        # Special tokens keep their case: a block that may hold one is left as it is.
+        self.special = os.path.commonprefix([x.content for x in self.tokenizer.get_added_tokens_decoder().values()])
+        self.folds = self.apart and bool(self.special) and self._ids(["Word", "A"]) == self._ids(["word", "a"])
+        self.marks = MARKS if self.apart and self._ids(["ab,.", "a1!"]) == self._ids(["ab", ",.", "a1", "!"]) else ""
+        self.end = [] if end is None else [end]
+        self._forget()
+
+    def _ids(self, texts: list[str]) -> list[int]:
+        return [i for x in self.tokenizer.encode_batch(texts, add_special_tokens=False) for i in x.ids]
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = array("I"), array("q", [0])
+        self.number("", self.end)  # the number 0 ends a document
+
+    def number(self, word: str, ids: list[int]) -> None:
+        self.known[word] = len(self.ends) - 1
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+
+    def parts(self, word: str) -> tuple[str, str]:
+        """What a word is looked up by: its front in the form it is remembered in, and the marks that end it."""
+        front = word.rstrip(self.marks) if self.marks else word
+        tail = word[len(front) :]
+        if tail and not (front and front[-1].isalnum()):
+            front, tail = word, ""
+        return front, tail
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, each with the end id, and the number of ids of each text."""
         if not self.apart:
-            found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-            return [np.array(x.ids + self.end, "<u4") for x in found]
-        cut = [t.translate(CUTS).split(" ") for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        missing = list({w for words in cut for w in words if w not in known})
-        for new, x in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-            known[new] = x.ids
-        out = []
-        for words in cut:
-            ids: list[int] = []
-            for w in words:
-                ids += known[w]
-            out.append(np.array(ids + self.end, "<u4"))
-        return out
+            found = [x.ids + self.end for x in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], "<u4"), np.array([len(x) for x in found], "i8")
+        if self.folds and not pc.any(pc.match_substring(texts, self.special)).as_py():
+            texts = pc.ascii_lower(texts)
+        words = pc.ascii_split_whitespace(texts)
+        cuts = words.offsets.to_numpy().astype("i8") - words.offsets[0].as_py()
+        coded = words.flatten().dictionary_encode()
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        # Two parts for each word, and the end after the last word of a text; an empty part has no ids.
+        known, listed = self.known, coded.dictionary.to_pylist()
+        found = list(map(known.get, listed))
+        strange = [i for i, n in enumerate(found) if n is None]
+        pairs = [self.parts(listed[i]) for i in strange]
+        missing = [p for p in dict.fromkeys(p for pair in pairs for p in pair) if p not in known]
+        for word, x in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+            self.number(word, x.ids)
+        for i, (front, _) in zip(strange, pairs, strict=True):
+            found[i] = known[front]
+        numbers = np.full((len(found), 2), -1, "i8")
+        numbers[:, 0] = found
+        numbers[strange, 1] = [known[tail] for _, tail in pairs]
+        numbers[numbers == 0] = -1
+        ends, flat = np.frombuffer(self.ends, "i8"), np.frombuffer(self.ids, "u4")
+        parts = numbers[coded.indices.to_numpy(zero_copy_only=False)].ravel()
+        parts = np.insert(parts, 2 * cuts[1:], 0)
+        starts = ends.astype("i4" if len(flat) < 2**31 else "i8")  # what is remembered is small
+        sizes = np.append(np.diff(starts), 0)[parts]
+        last = np.cumsum(sizes)
+        total = int(last[-1]) if len(last) else 0
+        at = np.repeat((starts[parts] - (last - sizes)).astype("i4"), sizes) + np.arange(total, dtype="i4")
+        text_ends = 2 * cuts[1:] + np.arange(len(texts))
+        counts = np.diff(np.concatenate(([0], last[text_ends])))
+        return flat[at], counts
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Ids (NO_ID for null) and texts in pieces of about BLOCK bytes, or one text that is longer."""
+    for batch in batches:
+        numbers = pc.fill_null(batch.column(0), NO_ID).to_numpy(zero_copy_only=False)
+        texts = batch.column(1)
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype("i8"))
+        at = 0
+        while at < len(numbers):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK)))
+            yield numbers[at:end], texts.slice(at, end - at)
+            at = end
 
 
 @lru_cache(maxsize=2)
@@ -90,7 +151,7 @@ def white_space_apart(tokenizer) -> bool:
     """Whether white space only separates: a probe with words, marks and spaces is encoded both ways."""
     probe = "It's  a\ttest,\n 12 é—ß\r\nx ' ' ..! ́a <b> don't"
     whole = tokenizer.encode(probe, add_special_tokens=False).ids
-    parts = [tokenizer.encode(w, add_special_tokens=False).ids for w in probe.translate(CUTS).split(" ")]
+    parts = [tokenizer.encode(w, add_special_tokens=False).ids for w in probe.split()]
     return whole == [i for p in parts for i in p]
 
 
@@ -126,21 +187,18 @@ def write_token_files(
         encoder = worker_encoder(tokenizer, end)
         store, root = open_folder(folder)
         name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
-        rows = ((i, t) for b in batches for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
         docs = tokens = 0
         ids_out = lens_out = None
-        for block in batches_of(rows, lambda r: len(r[1]) + 100, BLOCK):
+        for numbers, texts in blocks(batches):
             if ids_out is None:
                 store.create_dir(root, recursive=True)
                 ids_out, lens_out = (store.open_output_stream(f"{root}/{name}.{x}") for x in ("ids", "len"))
-            found = encoder.encode([t for _, t in block])
-            for ids in found:
-                if vocabulary <= int(ids.max(initial=0)):
-                    raise ValueError(f"id {ids.max()} is outside a vocabulary of {vocabulary}")
-                ids_out.write(ids.astype(kind).tobytes())
-            pairs = [(NO_ID if i is None else i, len(x)) for (i, _), x in zip(block, found, strict=True)]
-            lens_out.write(np.array(pairs, "<i8").tobytes())
-            docs, tokens = docs + len(block), tokens + sum(n for _, n in pairs)
+            ids, counts = encoder.encode(texts)
+            if vocabulary <= int(ids.max(initial=0)):
+                raise ValueError(f"id {ids.max()} is outside a vocabulary of {vocabulary}")
+            ids_out.write(ids.astype(kind).tobytes())
+            lens_out.write(np.column_stack((numbers, counts)).astype("<i8").tobytes())
+            docs, tokens = docs + len(counts), tokens + len(ids)
         if ids_out is not None:
             ids_out.close()
             lens_out.close()
