@@ -218,7 +218,7 @@ def _(t):
 
 
 LON, LAT = "(s_suppkey * 37 % 3600) / 10.0 - 180", "(s_suppkey * 53 % 1600) / 10.0 - 80"
-DISTANCE = "2 * 6371.0 * asin(sqrt(pow(sin(radians(lat - 30.0) / 2), 2) + cos(radians(30.0)) * cos(radians(lat)) * pow(sin(radians(lon - 120.0) / 2), 2)))"
+DISTANCE = "2 * 6371.0 * asin(sqrt(pow(sin(radians(lat + 60.0) / 2), 2) + cos(radians(-60.0)) * cos(radians(lat)) * pow(sin(radians(lon + 160.0) / 2), 2)))"
 
 
 @query(
@@ -228,7 +228,7 @@ DISTANCE = "2 * 6371.0 * asin(sqrt(pow(sin(radians(lat - 30.0) / 2), 2) + cos(ra
 def _(t):
     places = t.supplier.selectExpr("s_suppkey", f"CAST({LON} AS DOUBLE) AS lon", f"CAST({LAT} AS DOUBLE) AS lat")
     # A box of latitudes first: one degree is 111 km.
-    near = places.filter("lat BETWEEN 30 - 9000 / 111.0 AND 30 + 9000 / 111.0").withColumn("d", F.expr(DISTANCE))
+    near = places.filter("lat BETWEEN -60 - 9000 / 111.0 AND -60 + 9000 / 111.0").withColumn("d", F.expr(DISTANCE))
     return near.filter("d <= 9000").select("s_suppkey", F.round("d", 3).alias("km"))
 
 
