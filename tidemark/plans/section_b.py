@@ -18,11 +18,11 @@ def _(t):
 
 @query(
     "B2_computed_column",
-    "SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 2) AS charge FROM lineitem",
+    "SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge FROM lineitem",
 )
 def _(t):
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.round(charge, 2).alias("charge"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", charge.alias("charge"))
 
 
 @query(

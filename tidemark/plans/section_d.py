@@ -13,6 +13,11 @@ def total(c: str, name: str):
     return F.round(F.sum(c), 2).alias(name)
 
 
+def exact(c):
+    """A sum of cents without rounding error, so that what is divided by it is the same in any order of rows."""
+    return F.sum(c.cast("decimal(18,2)") if not isinstance(c, str) else F.col(c).cast("decimal(18,2)")).cast("double")
+
+
 @query(
     "D1_counts",
     """SELECT event_type, count(*) AS n, count(props) AS with_props, count(DISTINCT user_id) AS users FROM events GROUP BY 1""",
@@ -35,10 +40,10 @@ def _(t):
 
 @query(
     "D4_avg",
-    "SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1",
+    "SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean FROM orders GROUP BY 1",
 )
 def _(t):
-    return t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.round(F.avg("o_totalprice"), 4).alias("mean"))
+    return t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg((exact("o_totalprice") / F.count("*")).alias("mean"))
 
 
 @query(
@@ -143,13 +148,13 @@ def _(t):
 
 @query(
     "D17_guarded_ratio",
-    """SELECT user_id, round(sum(CASE WHEN event_type = 'purchase' THEN value END) / nullif(count(CASE WHEN event_type = 'purchase' THEN 1 END), 0), 4) AS per_purchase
+    """SELECT user_id, CAST(sum(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) / nullif(count(CASE WHEN event_type = 'purchase' THEN 1 END), 0) AS per_purchase
        FROM events GROUP BY 1""",
 )
 def _(t):
     bought = F.col("event_type") == "purchase"
-    ratio = F.try_divide(F.sum(F.when(bought, F.col("value"))), F.count(F.when(bought, 1)))
-    return t.events.groupBy("user_id").agg(F.round(ratio, 4).alias("per_purchase"))
+    ratio = F.try_divide(exact(F.when(bought, F.col("value"))), F.count(F.when(bought, 1)))
+    return t.events.groupBy("user_id").agg(ratio.alias("per_purchase"))
 
 
 BY_USER = "SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1"
@@ -212,7 +217,7 @@ def _(t):
     "D25_atomic_derived_composite",
     """WITH atomic AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS gmv FROM orders GROUP BY 1),
        derived AS (SELECT *, CAST(gmv AS DOUBLE) / orders AS aov FROM atomic)
-       SELECT CAST(month AS VARCHAR) AS month, orders, CAST(gmv AS DOUBLE) AS gmv, round(aov, 4) AS aov,
+       SELECT CAST(month AS VARCHAR) AS month, orders, CAST(gmv AS DOUBLE) AS gmv, aov,
               round((aov - lag(aov) OVER (ORDER BY month)) / nullif(lag(aov) OVER (ORDER BY month), 0), 6) AS aov_growth FROM derived""",
 )
 def _(t):
@@ -222,7 +227,7 @@ def _(t):
     derived = atomic.withColumn("gmv", F.col("gmv").cast("double")).withColumn("aov", F.col("gmv") / F.col("orders"))
     before = F.lag("aov").over(Window.orderBy("month"))  # a row for each month
     growth = F.round(F.try_divide(F.col("aov") - before, before), 6).alias("aov_growth")
-    return derived.select("month", "orders", "gmv", F.round("aov", 4).alias("aov"), growth)
+    return derived.select("month", "orders", "gmv", "aov", growth)
 
 
 @query("D26_bitmap_distinct", "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import derived
 from tidemark.plans.registry import query
+from tidemark.plans.section_d import exact
 
 DAY = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day"
 PAID = "o_orderstatus <> 'P' AND o_totalprice > 0"
@@ -234,9 +235,9 @@ def _(t):
     return t.events.select("event_type", "user_id").distinct().groupBy(F.col("event_type").alias("step")).agg(F.count("user_id").alias("users"))
 
 
-@query("I19_aov", f"SELECT {DAY}, round(sum(o_totalprice) / count(*), 4) AS aov FROM orders WHERE {PAID} GROUP BY 1")
+@query("I19_aov", f"SELECT {DAY}, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS aov FROM orders WHERE {PAID} GROUP BY 1")
 def _(t):
-    return paid(t).groupBy(ORDER_DAY).agg(F.round(F.sum("o_totalprice") / F.count("*"), 4).alias("aov"))
+    return paid(t).groupBy(ORDER_DAY).agg((exact("o_totalprice") / F.count("*")).alias("aov"))
 
 
 @query("I20_top_spenders", f"SELECT o_custkey, {GMV} FROM orders WHERE {PAID} GROUP BY 1 ORDER BY gmv DESC, 1 LIMIT 100")
@@ -382,12 +383,12 @@ LAST30 = "CAST(ts AS DATE) > (SELECT max(CAST(ts AS DATE)) FROM events) - 30"
 
 @query(
     "I32_fraud_by_account",
-    f"SELECT user_id, count(*) AS n, round(sum(value), 2) AS amount, round(avg(value), 4) AS mean FROM events WHERE event_type = 'purchase' AND {LAST30} GROUP BY 1",
+    f"SELECT user_id, count(*) AS n, round(sum(value), 2) AS amount, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean FROM events WHERE event_type = 'purchase' AND {LAST30} GROUP BY 1",
 )
 def _(t):
     last = t.events.agg(F.max(F.to_date("ts")).alias("last"))  # one row
     rows = t.events.filter("event_type = 'purchase'").crossJoin(F.broadcast(last)).filter("to_date(ts) > date_sub(last, 30)")
-    return rows.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("amount"), F.round(F.avg("value"), 4).alias("mean"))
+    return rows.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("amount"), (exact("value") / F.count("*")).alias("mean"))
 
 
 @query(
