@@ -8,29 +8,39 @@ from pyspark.sql import functions as F
 from tidemark.plans.registry import query
 from tidemark.plans.section_main import date_spine
 
-USER = Window.partitionBy("user_id").orderBy("ts", "event_id")
-CUSTOMER = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+
+def user_order():
+    return Window.partitionBy("user_id").orderBy("ts", "event_id")
+
+
+def customer_order():
+    return Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+
+
 BY_TIME = "OVER (PARTITION BY user_id ORDER BY ts, event_id)"
 BY_DATE = "OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"
 
 
 @query("E1_row_number", f"SELECT event_id, row_number() {BY_TIME} AS n FROM events")
 def _(t):
-    return t.events.select("event_id", F.row_number().over(USER).alias("n"))
+    return t.events.select("event_id", F.row_number().over(user_order()).alias("n"))
 
 
 SIZES = "FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_size DESC)"
-SIZE = Window.partitionBy("p_brand").orderBy(F.desc("p_size"))
+
+
+def by_size():
+    return Window.partitionBy("p_brand").orderBy(F.desc("p_size"))
 
 
 @query("E2_rank", f"SELECT p_partkey, rank() OVER w AS rank {SIZES}")
 def _(t):
-    return t.part.select("p_partkey", F.rank().over(SIZE).alias("rank"))
+    return t.part.select("p_partkey", F.rank().over(by_size()).alias("rank"))
 
 
 @query("E3_dense_rank", f"SELECT p_partkey, dense_rank() OVER w AS rank {SIZES}")
 def _(t):
-    return t.part.select("p_partkey", F.dense_rank().over(SIZE).alias("rank"))
+    return t.part.select("p_partkey", F.dense_rank().over(by_size()).alias("rank"))
 
 
 @query(
@@ -45,7 +55,7 @@ def _(t):
 
 @query("E5_running_sum", "SELECT o_orderkey, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING), 2) AS spent FROM orders")
 def _(t):
-    frame = CUSTOMER.rowsBetween(Window.unboundedPreceding, 0)
+    frame = customer_order().rowsBetween(Window.unboundedPreceding, 0)
     return t.orders.select("o_orderkey", F.round(F.sum("o_totalprice").over(frame), 2).alias("spent"))
 
 
@@ -54,7 +64,7 @@ def _(t):
     "SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 3) AS mean FROM orders",
 )
 def _(t):
-    return t.orders.select("o_orderkey", F.round(F.avg("o_totalprice").over(CUSTOMER.rowsBetween(-2, 0)), 3).alias("mean"))
+    return t.orders.select("o_orderkey", F.round(F.avg("o_totalprice").over(customer_order().rowsBetween(-2, 0)), 3).alias("mean"))
 
 
 DAYS = """d AS (SELECT CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(18,4))) AS total FROM events GROUP BY 1),
@@ -103,13 +113,13 @@ def _(t):
 )
 def _(t):
     day = F.to_date("o_orderdate")
-    before = F.lag(day).over(CUSTOMER)
+    before = F.lag(day).over(customer_order())
     return t.orders.select("o_orderkey", before.alias("before"), F.datediff(day, before).alias("days"))
 
 
 @query("E11_lead", f"SELECT event_id, lead(event_type) {BY_TIME} AS following FROM events")
 def _(t):
-    return t.events.select("event_id", F.lead("event_type").over(USER).alias("following"))
+    return t.events.select("event_id", F.lead("event_type").over(user_order()).alias("following"))
 
 
 MONTHS = "m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS gmv FROM orders GROUP BY 1)"
@@ -204,7 +214,7 @@ def _(t):
 
 @query("E20_order_sequence", f"SELECT o_orderkey, row_number() {BY_DATE} AS sequence FROM orders")
 def _(t):
-    return t.orders.select("o_orderkey", F.row_number().over(CUSTOMER).alias("sequence"))
+    return t.orders.select("o_orderkey", F.row_number().over(customer_order()).alias("sequence"))
 
 
 @query(
@@ -223,7 +233,7 @@ def _(t):
        WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
 )
 def _(t):
-    whole = CUSTOMER.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = customer_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return t.orders.select("o_orderkey", F.first("o_orderkey").over(whole).alias("first"), F.last("o_orderkey").over(whole).alias("last"))
 
 

@@ -27,17 +27,20 @@ def gmv(rows, *by):
 
 
 GMV = "count(*) AS orders, round(sum(o_totalprice), 2) AS gmv"
-ORDER_DAY = F.to_date("o_orderdate").alias("day")
+
+
+def order_day():
+    return F.to_date("o_orderdate").alias("day")
 
 
 @query("I1_gmv_by_day", f"SELECT {DAY}, {GMV} FROM orders WHERE {PAID} GROUP BY 1")
 def _(t):
-    return gmv(paid(t), ORDER_DAY)
+    return gmv(paid(t), order_day())
 
 
 @query("I2_gmv_without_refunded", f"SELECT {DAY}, {GMV} FROM orders WHERE {PAID} AND o_orderkey NOT IN {RETURNED} GROUP BY 1")
 def _(t):
-    return gmv(paid(t).join(returned(t), "o_orderkey", "left_anti"), ORDER_DAY)
+    return gmv(paid(t).join(returned(t), "o_orderkey", "left_anti"), order_day())
 
 
 @query(
@@ -48,7 +51,7 @@ def _(t):
                round(coalesce(gross, 0.0) - coalesce(refund, 0.0), 2) AS net FROM g FULL JOIN r ON g.d = r.d""",
 )
 def _(t):
-    g = paid(t).groupBy(ORDER_DAY).agg(F.round(F.sum("o_totalprice"), 2).alias("gross"))
+    g = paid(t).groupBy(order_day()).agg(F.round(F.sum("o_totalprice"), 2).alias("gross"))
     r = t.lineitem.filter("l_returnflag = 'R'").groupBy(F.to_date("l_shipdate").alias("day"))
     both = g.join(r.agg(F.round(F.sum("l_extendedprice"), 2).alias("refund")), "day", "full").fillna(0.0)
     return both.withColumn("net", F.round(F.col("gross") - F.col("refund"), 2))
@@ -65,7 +68,7 @@ BLACKLIST = "(SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
 def _(t):
     barred = t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
     rows = paid(t).filter("o_orderpriority <> '4-NOT SPECIFIED'").join(barred, "o_custkey", "left_anti")
-    return gmv(rows.join(returned(t), "o_orderkey", "left_anti"), ORDER_DAY)
+    return gmv(rows.join(returned(t), "o_orderkey", "left_anti"), order_day())
 
 
 ACTIVE = "a AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events)"
@@ -237,7 +240,7 @@ def _(t):
 
 @query("I19_aov", f"SELECT {DAY}, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS aov FROM orders WHERE {PAID} GROUP BY 1")
 def _(t):
-    return paid(t).groupBy(ORDER_DAY).agg((exact("o_totalprice") / F.count("*")).alias("aov"))
+    return paid(t).groupBy(order_day()).agg((exact("o_totalprice") / F.count("*")).alias("aov"))
 
 
 @query("I20_top_spenders", f"SELECT o_custkey, {GMV} FROM orders WHERE {PAID} GROUP BY 1 ORDER BY gmv DESC, 1 LIMIT 100")
