@@ -25,7 +25,7 @@ MOST_LABELLED = 20_000
 PASSES = 5
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-4
 #: Words whose hashes a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 _CORE = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], "u8")

@@ -33,7 +33,7 @@ NO_ID = -(2**63)
 #: Bytes of text that are encoded at a time, unless one document alone is longer.
 BLOCK = 4_000_000
 #: Different words a worker remembers the ids of; beyond it the memory starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Marks that are cut from the end of a word.
 MARKS = ".,!?;:*%$&#|"
 
