@@ -118,3 +118,31 @@ def test_odd_documents(spark):
     assert {r.doc_id for r in spans} <= {None, 6} and all(r.first_id == 6 for r in spans)
     assert drop_repeats(frame(spark, odd())).count() == len(odd())
     assert repeated_spans(frame(spark, [])).count() == 0
+
+
+def test_what_a_document_holds_first_stays_in_it(spark):
+    rng = random.Random(31)
+    one, two, edit = words(rng, 80, 9000), words(rng, 80, 9000), words(rng, 45, 9000)
+    around = lambda middle: f"{words(rng, 60, 9000)} {middle} {words(rng, 60, 9000)}"
+    chain = words(rng, 80, 9000), words(rng, 80, 9000)
+    docs = [
+        (1, around(one)), (5, around(f"{one} {two}")), (9, around(two)),
+        (11, around(" ".join(chain))), (15, around(f"{chain[0]} {edit} {chain[1]}")), (19, around(f"{chain[0]} {edit} {chain[1]}")),
+    ]
+    spans = repeated_spans(frame(spark, docs)).collect()
+    assert {(r.doc_id, r.repeated) for r in spans} == {(1, False), (5, True), (5, False), (9, True), (11, False), (15, True), (15, False), (19, True)}
+    cut = {r.doc_id: r.text for r in drop_repeats(frame(spark, docs)).collect()}
+    inner = lambda passage: " ".join(passage.split()[20:-20])
+    for passage, holders in ((one, [1]), (two, [5]), (edit, [15]), (chain[0], [11]), (chain[1], [11])):
+        assert [i for i, t in cut.items() if (inner(passage) if passage != edit else passage) in t] == holders
+
+
+def test_a_short_earlier_stretch_stays_with_its_run(spark):
+    rng = random.Random(32)
+    head, tail = words(rng, 24, 9000), words(rng, 60, 9000)
+    around = lambda middle: f"{words(rng, 60, 9000)} {middle} {words(rng, 60, 9000)}"
+    docs = [(1, around(head)), (5, around(f"{head} {tail}")), (9, around(f"{head} {tail}"))]
+    spans = {r.doc_id: r for r in repeated_spans(frame(spark, docs)).collect()}
+    assert {i: r.repeated for i, r in spans.items()} == {5: False, 9: True}
+    assert spans[5].n_words == spans[9].n_words
+    assert {r.doc_id: r.text for r in drop_repeats(frame(spark, docs)).collect()}[5] == docs[1][1]

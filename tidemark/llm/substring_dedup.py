@@ -106,9 +106,11 @@ def repeated_spans(
 ) -> DataFrame:
     """Runs of chunks that other documents hold too.
 
-    Returns a row per run of at least `min_words` words: doc_id, start and size (bytes of the UTF-8 text), n_words,
-    first_id (the least id among the documents that hold one of its chunks), repeated (whether an earlier
-    document holds it, so that it may go) and row (identity of the text).
+    Runs of at least `min_words` words are reported. A run is divided where a stretch of `min_words` words and more
+    begins or ends of which earlier documents hold every chunk: such a stretch is repeated and may go, while the
+    first document that holds a chunk keeps it. Returns a row per part: doc_id, start and size (bytes of the UTF-8
+    text), n_words, first_id (the least id among the documents that hold one of its chunks), repeated and row
+    (identity of the text). A part that is not repeated may have fewer words than its run must have.
 
     A chunk is repeated if two documents hold it; equal rows (same id and text) are one document. Chunks are
     counted over all documents by an aggregate with map-side combine, and occurrences meet only the digests that
@@ -126,17 +128,29 @@ def repeated_spans(
     order = Window.partitionBy("row").orderBy("start")
     once = met.withColumns({"before": F.lag("start").over(order), "ended": F.lag(F.col("start") + F.col("size")).over(order)})
     once = once.filter("before IS NULL OR before <> start")
-    begins = F.coalesce(F.col("ended") != F.col("start"), F.lit(True)).cast("int")
-    runs = once.withColumn("run", F.sum(begins).over(order)).groupBy("row", "run")
-    spans = runs.agg(
-        F.min("doc_id").alias("doc_id"),
-        F.min("start").alias("start"),
-        F.sum("size").alias("size"),
-        F.sum("n_words").alias("n_words"),
-        F.min("first_id").alias("first_id"),
-    )
+    begins = F.coalesce(F.col("ended") != F.col("start"), F.lit(True))
     earlier = F.coalesce(F.col("first_id") < F.col("doc_id"), F.col("doc_id").isNull() & F.col("first_id").isNotNull())
-    spans = spans.filter(F.col("n_words") >= min_words).withColumn("repeated", earlier)
+    once = once.withColumns({"begins": begins, "earlier": earlier})
+    whole = ["row", "doc_id", "run"]
+
+    def joined(parts: DataFrame, flag: str) -> DataFrame:
+        """Neighbours of one run with the same flag made one, each with its `run`."""
+        changes = F.col("begins") | (F.col(flag) != F.lag(flag).over(order))
+        parts = parts.withColumn("run", F.sum(F.col("begins").cast("int")).over(order))
+        parts = parts.withColumn("part", F.sum(changes.cast("int")).over(order))
+        return parts.groupBy(*whole, "part", flag).agg(
+            F.min("start").alias("start"),
+            F.sum("size").alias("size"),
+            F.sum("n_words").alias("n_words"),
+            F.min("first_id").alias("first_id"),
+            F.max("begins").alias("begins"),
+        )
+
+    # Too short a stretch does not go, so it stays with what is beside it.
+    parts = joined(once, "earlier").withColumn("repeated", F.col("earlier") & (F.col("n_words") >= min_words))
+    spans = joined(parts.drop("run", "part", "earlier"), "repeated")
+    in_run = F.sum("n_words").over(Window.partitionBy(*whole))
+    spans = spans.withColumn("in_run", in_run).filter(F.col("in_run") >= min_words)
     return spans.select("doc_id", "start", "size", "n_words", "first_id", "repeated", "row")
 
 
