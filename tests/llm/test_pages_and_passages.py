@@ -146,3 +146,19 @@ def test_a_short_earlier_stretch_stays_with_its_run(spark):
     assert {i: r.repeated for i, r in spans.items()} == {5: False, 9: True}
     assert spans[5].n_words == spans[9].n_words
     assert {r.doc_id: r.text for r in drop_repeats(frame(spark, docs)).collect()}[5] == docs[1][1]
+
+
+def test_whole_texts_and_runs_of_paragraphs(spark):
+    from tidemark.llm.license_texts import PUBLISHED
+
+    full = {}
+    for name, text in PUBLISHED:
+        full.setdefault(name, text)
+    some = ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0")
+    docs = [(k, full[n]) for k, n in enumerate(some)]
+    docs += [(20, f"A header.\n\n{MIT}\n\n{LONG}"), (21, f"{LONG}\n\n{full['GPL-3.0']}"), (22, MIT.split("\n\n")[0] + f"\n\n{LONG}"), (23, "# SPDX-License-Identifier: MPL-2.0\ncode")]
+    for limit in (100_000, 0):
+        got = {tuple(r) for r in find_licenses(frame(spark, docs), broadcast_texts=limit).collect()}
+        assert {(k, n, "document") for k, n in enumerate(some)} <= got
+        assert {(20, "MIT", "paragraphs"), (21, "GPL-3.0", "paragraphs"), (23, "MPL-2.0", "line")} <= got
+        assert not [r for r in got if r[0] == 22]

@@ -1,5 +1,7 @@
 """Texts of well-known licences and notices. They must read as published."""
 
+from pathlib import Path
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
 rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
@@ -92,6 +94,45 @@ KNOWN = (
     ("all-rights-reserved", "All rights reserved."),
 )
 
+_FILES = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2",
+    "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def _whole_texts():
+    """The texts beside this module, each also without what follows the end of its terms."""
+    for file, name in _FILES.items():
+        text = (Path(__file__).parent / "published" / f"{file}.txt").read_text("utf-8")
+        yield name, text
+        if _END in text:
+            yield name, text[: text.index(_END) + len(_END)]
+            yield name, text[: text.index(_END)]
+
+
+def _gnu_notice(what: str, kind: str, version: str) -> str:
+    return (
+        f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General Public "
+        f"License as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+    )
+
+
+#: Whole texts and the notices that their authors ask for, in the form of KNOWN.
+PUBLISHED = (
+    *_whole_texts(),
+    *(("GPL-" + v + ".0", _gnu_notice("program", "", v)) for v in "123"),
+    *(("LGPL-" + v, _gnu_notice("library", "Lesser ", v.removesuffix(".0"))) for v in ("2.1", "3.0")),
+    ("LGPL-2.0", _gnu_notice("library", "Library ", "2")),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    *((name, f"SPDX-License-Identifier: {name}") for name in sorted({*_FILES.values(), *(k for k, _ in KNOWN if "-" in k and k[0] != "a"), "MIT", "ISC", "Zlib"})),
+)
+
 #: Spellings that count as equal: what is found in lower-case text, and what it is read as.
 SPELLINGS = (
     ("licence", "license"),

@@ -2,7 +2,8 @@
 
 Texts and known licences go through one canonical form: no copyright lines, lower case, equivalent spellings
 made one, punctuation and white space one space. Entire canonical texts are hashed and joined with the digests
-of the known licences. Entire are: the document, each of its paragraphs, lines and sentences.
+of the known licences. Entire are: the document, each of its paragraphs, lines and sentences. A known text of
+several paragraphs is also found as a run of paragraphs: where its first one is met, the words that follow are hashed.
 """
 
 from __future__ import annotations
@@ -11,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import col, whole_text, written
-from tidemark.llm.license_texts import KNOWN, SPELLINGS
+from tidemark.llm.license_texts import KNOWN, PUBLISHED, SPELLINGS
 
 #: A line that names who holds the copyright.
 COPYRIGHT_LINE = r"(?im)^[ \t*#/;-]*(?:copyright[ \t]+(?:\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©)[^\n]*$"
 #: Widest first; a text that is found in more than one is reported as the widest.
 SCOPES = ("document", "paragraph", "line", "sentence")
+#: A run of paragraphs; between the document and one paragraph.
+RUN = "paragraphs"
 SENTENCE_END, PARAGRAPH_END = r"([.!?])[ \t]+", r"\n[ \t\r]*\n\s*"
 #: So many known texts (below 10 MB of digests) are broadcast; more are joined by exchange.
 BROADCAST_TEXTS = 100_000
@@ -31,7 +34,7 @@ def canonical(text: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "license string, text string")
+    return spark.createDataFrame([*KNOWN, *PUBLISHED], "license string, text string")
 
 
 def passages(text: Column) -> Column:
@@ -47,23 +50,67 @@ def passages(text: Column) -> Column:
     return F.concat(named(0), *further)
 
 
+def paragraphs(text: Column) -> Column:
+    """The canonical paragraphs, without empty ones."""
+    return F.filter(F.transform(F.split(text, PARAGRAPH_END), canonical), lambda p: p != "")
+
+
+def in_runs(docs: DataFrame, longer: DataFrame) -> DataFrame:
+    """doc_id and license of the known texts that are runs of whole paragraphs of `docs` (doc_id, text)."""
+    placed = docs.select("doc_id", paragraphs(F.col("text")).alias("parts"))
+    placed = placed.select("doc_id", "parts", F.posexplode("parts").alias("at", "first"))
+    met = placed.withColumn("anchor", F.sha2("first", 256)).join(longer, "anchor")
+    tail = F.slice("parts", F.col("at") + 1, F.size("parts"))
+    met = met.select("doc_id", "license", "n", "digest", tail.alias("tail"))
+    none = F.struct(F.lit(0).alias("words"), F.lit(False).alias("ends"))
+
+    def further(state: Column, part: Column) -> Column:
+        words = state["words"] + F.size(F.split(part, " "))
+        return F.struct(words.alias("words"), (state["ends"] | (words == F.col("n"))).alias("ends"))
+
+    met = met.filter(F.aggregate("tail", none, further)["ends"])
+    run = F.array_join(F.slice(F.split(F.array_join("tail", " "), " "), F.lit(1), F.col("n")), " ")
+    return met.filter(F.sha2(run, 256) == F.col("digest")).select("doc_id", "license")
+
+
 def find_licenses(
     docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", broadcast_texts: int = BROADCAST_TEXTS
 ) -> DataFrame:
     """doc_id, license, scope: the known licences that a document is, or holds as an entire passage.
 
     One row for each distinct pair of id and licence, with the widest scope. `known` has columns license and
-    text (KNOWN by default); texts without letters or digits and null ones in it are left out. Null and empty
+    text (KNOWN and PUBLISHED by default); texts without letters or digits and null ones in it are left out. Null and empty
     documents hold nothing; null ids are reported as null. Empty tables give no rows. Repeated rows count
     once. Extra columns are ignored.
     """
     listed = known_licenses(docs.sparkSession) if known is None else known
-    listed = listed.select(col("license").alias("license"), canonical(whole_text(col("text"))).alias("text"))
-    digests = listed.filter("text <> ''").select("license", F.sha2("text", 256).alias("digest")).distinct()
+    listed = listed.select(col("license").alias("license"), whole_text(col("text")).alias("raw"))
+    listed = listed.select("license", canonical(F.col("raw")).alias("text"), paragraphs(F.col("raw")).alias("parts")).filter("text <> ''")
+    digests = listed.select("license", F.sha2("text", 256).alias("digest")).distinct()
+    whole = F.array_join("parts", " ")
+    longer = listed.filter(F.size("parts") > 1).select(
+        "license", F.sha2(F.get("parts", F.lit(0)), 256).alias("anchor"), F.size(F.split(whole, " ")).alias("n"), F.sha2(whole, 256).alias("digest")
+    )
+    longer = written(longer.distinct(), "license_runs")
+    # With the first paragraphs of the longer texts, which name no licence yet.
+    anchors = longer.select(F.lit(None).cast("string").alias("license"), F.col("anchor").alias("digest")).distinct()
+    digests = digests.withColumn("begins", F.lit(False)).union(anchors.withColumn("begins", F.lit(True)))
     digests = written(digests, "license_digests")
     few = digests.count() <= broadcast_texts
-    parts = docs.select(col(doc_id).alias("doc_id"), F.explode(passages(whole_text(col(text)))).alias("part"))
-    hashed = parts.select("doc_id", "part.scope", F.sha2(canonical(F.col("part.passage")), 256).alias("digest"))
+    body = whole_text(col(text))
+    row = F.xxhash64(F.coalesce(col(doc_id).cast("string"), F.lit("-")), body).alias("row")
+    parts = docs.select(col(doc_id).alias("doc_id"), row, F.explode(passages(body)).alias("part"))
+    hashed = parts.select("doc_id", "row", "part.scope", F.sha2(canonical(F.col("part.passage")), 256).alias("digest"))
     found = hashed.join(F.broadcast(digests) if few else digests.hint("merge"), "digest")
-    widest = found.groupBy("doc_id", "license").agg(F.min("scope").alias("scope"))
-    return widest.select("doc_id", "license", F.element_at(F.array(*map(F.lit, SCOPES)), F.col("scope") + 1).alias("scope"))
+    found = written(found.filter("NOT begins OR scope = 1").groupBy("doc_id", "row", "license", "begins").agg(F.min("scope").alias("scope")), "license_hits")
+    # Only texts that hold such a first paragraph are read again.
+    begun = found.filter("begins").select("row").distinct()
+    begun = F.broadcast(begun) if begun.count() <= broadcast_texts else begun
+    again = docs.select(col(doc_id).alias("doc_id"), row, body.alias("text")).join(begun, "row", "left_semi")
+    held = in_runs(again, F.broadcast(longer) if few else longer)
+    # From the widest: document, RUN, and the other scopes.
+    names = (SCOPES[0], RUN, *SCOPES[1:])
+    rank = F.when(F.col("scope") == 0, 0).otherwise(F.col("scope") + 1).alias("rank")
+    ranked = found.filter("NOT begins").select("doc_id", "license", rank).union(held.select("doc_id", "license", F.lit(1)))
+    widest = ranked.groupBy("doc_id", "license").agg(F.min("rank").alias("rank"))
+    return widest.select("doc_id", "license", F.element_at(F.array(*map(F.lit, names)), F.col("rank") + 1).alias("scope"))
