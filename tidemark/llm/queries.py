@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import AGREE, LEAST_INSIDE, MASKS, SHORTEST, SPAN, find_leaks
 from tidemark.llm.exact_dedup import DigestIndex
+from tidemark.llm.filter_audit import audit_filters
+from tidemark.llm.hard_negatives import mine_hard_negatives
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.license_texts import KNOWN, SPELLINGS
 from tidemark.llm.licenses import COPYRIGHT_LINE, PARAGRAPH_END, SCOPES, SENTENCE_END, find_licenses
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import LARGEST_MEAN, STEPS, mix_sources
 from tidemark.llm.quality import score_quality
+from tidemark.llm.slots import shard_documents
 from tidemark.llm.substring_dedup import repeated_spans
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.toxicity import score_toxicity
@@ -208,3 +211,82 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every long passage of a document that another document holds too."""
     return repeated_spans(table(spark, sf_dir, "documents")).drop("row")
+
+
+_orders = "SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5"
+
+
+@query(
+    "op11_filter_audit",
+    f"""
+    WITH d AS (
+      SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+    ), f AS (
+      SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+             + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+             + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS fails FROM d
+    ), k AS (
+      SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY 1
+    ), c AS (
+      SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(bad, 0)) AS bad FROM f LEFT JOIN k USING (doc_id) GROUP BY 1, 2
+    ), l(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+    o AS ({_orders}),
+    s AS (
+      SELECT filter_order, step, filter_order[step] AS filter, 1 << (instr('ABCDE', filter_order[step]) - 1) AS bit,
+             coalesce(list_sum(list_transform(string_split(filter_order[1:step - 1], ''), lambda f: CASE WHEN f = '' THEN 0 ELSE 1 << (instr('ABCDE', f) - 1) END)), 0) AS earlier
+      FROM o, (SELECT unnest(range(1, 6)) AS step)
+    ), r AS (
+      SELECT part, filter_order, step, filter,
+             coalesce(sum(n) FILTER (fails & bit = 0 AND fails & earlier = 0), 0) AS kept,
+             coalesce(sum(n) FILTER (fails & bit > 0 AND fails & earlier = 0), 0) AS removed,
+             coalesce(sum(n) FILTER (fails & bit > 0 AND fails & earlier > 0), 0) AS redundant,
+             coalesce(sum(n) FILTER (fails = bit), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (fails & bit > 0 AND fails & earlier = 0), 0) AS good_lost,
+             coalesce(sum(bad) FILTER (fails & bit > 0 AND fails & earlier = 0), 0) AS toxic_lost
+      FROM c, s GROUP BY 1, 2, 3, 4
+    )
+    SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+           CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM r
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What filters A to E remove in each order, by source."""
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+N_SHARDS = 24
+
+
+@query("op12_slot_shards")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard of N_SHARDS, which are nearly equal in bytes."""
+    placed = shard_documents(table(spark, sf_dir, "documents"), N_SHARDS)
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH e AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ), p AS (
+      SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY row_number() OVER w <= 10
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", shifted))
