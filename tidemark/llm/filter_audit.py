@@ -1,15 +1,19 @@
 """What a chain of filters removes, for every order of the filters, from a sparse document-term matrix.
 
 Texts are read once. A task turns about SHARD_BYTES of text into one shard of a matrix in compressed sparse rows, with the
-words of the shard numbered by themselves. The distinct words of all shards get global numbers, and each shard's columns
-are renumbered to them. A row's sum is its document's number of words, its nonzero entries are the distinct words.
+words of the shard numbered by themselves. The distinct words of all shards get global numbers, part by part of a hash,
+and each shard's columns are renumbered to them. A row's sum is its document's number of words, its nonzero entries are the distinct words.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import permutations
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +22,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import col, whole_text, written
+from tidemark.runtime import scratch_path
 
-SHARD_BYTES = 4 << 20
+#: Text of one shard, and of the corpus for one part of the dictionary.
+SHARD_BYTES, PART_BYTES = 16 << 20, 4 << 20
 FILTERS = "ABCDE"
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_CAPITALS_PERCENT, MARKS = 200, 50, 2, "#$%&*|"
 
-SHARDS = (
-    "shard long, doc_id array<long>, part array<string>, fails array<int>, digest array<binary>, "
-    "begins array<long>, codes array<int>, counts array<int>, words array<binary>"
-)
+CARRIED = "doc_id array<long>, part array<string>, fails array<int>, digest array<binary>"
+SHARDS = f"shard long, {CARRIED}, begins array<long>, codes array<int>, counts array<int>, words array<binary>"
+NUMBERED = "shard long, h int, places array<int>, words binary"
+MATRIX = f"shard long, {CARRIED}, begins array<long>, terms array<long>, counts array<int>"
+SUMS = "doc_id long, part string, fails int, digest binary, n_words long, n_distinct long"
 
 
 def table_of(characters: bytes) -> np.ndarray:
@@ -40,28 +47,38 @@ WHITE, CAPITAL, MARK = table_of(b" \t\n\x0b\x0c\r"), table_of(bytes(range(65, 91
 
 def within(found: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many true entries each stretch between two offsets has."""
-    sums = np.concatenate([[0], np.cumsum(found, dtype=np.int64)])
+    sums = np.concatenate([[0], np.cumsum(found, dtype=np.int32 if len(found) < 1 << 31 else np.int64)]).astype(np.int64, copy=False)
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def sparse_rows(data: np.ndarray, offsets: np.ndarray):
-    """(begins, codes, counts, words) of texts that lie one behind the other: a matrix in compressed sparse rows."""
+def sparse_rows(data: np.ndarray, offsets: np.ndarray, parts: int):
+    """(begins, codes, counts, words) of texts that lie one behind the other: a matrix in compressed sparse rows.
+
+    The different words are numbered in the order of a hash that has `parts` values; `words` holds those of each value,
+    joined by line ends, which no word contains.
+    """
     inside = ~WHITE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edges = offsets[:-1][np.diff(offsets) > 0]
     first[edges] = inside[edges]  # a word never goes on in the next text
     starts = np.flatnonzero(first)
-    ends = np.append(np.cumsum(inside, dtype=np.int64)[starts] - 1, inside.sum()) if len(starts) else np.zeros(1, np.int64)
-    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[inside])]
-    encoded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
-    words, n_docs = encoded.dictionary, len(offsets) - 1
-    width = max(1, len(words))
-    docs = np.searchsorted(offsets, starts, "right") - 1
-    # An empty text shares its offset with the next one, which `right` picks.
-    cells, counts = np.unique(docs.astype(np.int64) * width + encoded.indices.to_numpy(), return_counts=True)
+    letters = data[inside]
+    ends = np.append(np.cumsum(inside, dtype=np.int64)[starts] - 1, len(letters))
+    encoded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(letters)]).dictionary_encode()
+    words = encoded.dictionary.to_pylist()
+    hashed = np.fromiter((crc32(w) % parts for w in words), np.int64, len(words))
+    order = np.argsort(hashed, kind="stable")
+    number = np.empty(len(words), np.int64)
+    number[order] = np.arange(len(words))
+    cuts = np.searchsorted(hashed[order], np.arange(parts + 1)).tolist()
+    in_order = [words[i] for i in order.tolist()]
+    packed = [b"\n".join(in_order[a:b]) for a, b in zip(cuts, cuts[1:])]
+    width, n_docs = max(1, len(words)), len(offsets) - 1
+    docs = np.searchsorted(offsets, starts, "right") - 1  # an empty text ends where it begins and gets none
+    cells, counts = np.unique(docs * width + number[encoded.indices.to_numpy()], return_counts=True)
     begins = np.searchsorted(cells, np.arange(n_docs + 1, dtype=np.int64) * width)
-    return begins, cells % width, counts, words
+    return begins, cells % width, counts, packed
 
 
 def one_list(values) -> pa.Array:
@@ -69,78 +86,132 @@ def one_list(values) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def shards(parts: int):
     """One row a shard: ids, parts, failures of C and D, digests, and the sparse rows under the shard's own numbers."""
-    number = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        texts = batch.column("text").cast(pa.large_binary())
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
-        a = 0
-        while a < len(texts):
-            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + SHARD_BYTES, "right")) - 1)
-            own = offsets[a : b + 1] - offsets[a]
-            piece = data[offsets[a] : offsets[b]]
-            begins, codes, counts, words = sparse_rows(piece, own)
-            capitals = 100 * within(CAPITAL[piece], own) > MOST_CAPITALS_PERCENT * within((piece & 0xC0) != 0x80, own)
-            fails = 4 * capitals.astype(np.int32) + 8 * (within(MARK[piece], own) > 0).astype(np.int32)
-            view = memoryview(piece)
-            digests = [hashlib.sha256(view[x:y]).digest() for x, y in zip(own[:-1].tolist(), own[1:].tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number], pa.int64()), one_list(batch.column("doc_id")[a:b]), one_list(batch.column("part")[a:b]),
-                    one_list(pa.array(fails, pa.int32())), one_list(pa.array(digests, pa.binary())), one_list(pa.array(begins, pa.int64())),
-                    one_list(pa.array(codes, pa.int32())), one_list(pa.array(counts, pa.int32())), one_list(words.cast(pa.binary())),
-                ],
-                ["shard", "doc_id", "part", "fails", "digest", "begins", "codes", "counts", "words"],
-            )
-            number, a = number + 1, b
-
-
-def dictionary(words: DataFrame) -> DataFrame:
-    """(word, term) for the distinct `word`s, numbered 0, 1, 2, ... without gaps: place in a part after the sizes of the
-    parts before it, of which there are as many as shuffle partitions."""
-    found = written(words.distinct().withColumn("at", F.monotonically_increasing_id()), "dictionary")
-    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    sizes = found.groupBy(part.alias("p")).agg(F.max(place).alias("last")).orderBy("p").collect()
-    bases, total = [], 0
-    for r in sizes:
-        bases.append((r["p"], total))
-        total += r["last"] + 1
-    small = words.sparkSession.createDataFrame(bases, "p long, base long")
-    return found.withColumn("p", part).join(F.broadcast(small), "p").select("word", (F.col("base") + place).alias("term"))
-
-
-def term_matrix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "source") -> tuple[DataFrame, DataFrame]:
-    """The document-term matrix: shards in compressed sparse rows over global term numbers, and the dictionary.
-
-    A shard is a row (shard, doc_id[], part[], fails[], digest[], begins[], terms[], counts[]): row i of the matrix has the
-    columns terms[begins[i]:begins[i+1]] with their counts.
-    """
-    some = docs.select(
-        col(doc_id).cast("long").alias("doc_id"), F.coalesce(col(part).cast("string"), F.lit("")).alias("part"), whole_text(col(text)).alias("text")
-    )
-    local = written(some.mapInArrow(shards, SHARDS), "local_shards")
-    words = local.select("shard", F.posexplode("words").alias("code", "word"))
-    terms = dictionary(words.select("word"))
-    pairs = words.join(terms, "word").groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("code", "term"))).alias("pairs"))
-    pairs = pairs.select("shard", F.col("pairs.term").alias("ids"))
-    joined = local.drop("words").join(pairs, "shard", "left")  # a shard of empty texts has no words
-    numbered = F.transform("codes", lambda c: F.get("ids", c)).alias("terms")
-    return joined.select("shard", "doc_id", "part", "fails", "digest", "begins", numbered, "counts"), terms
-
-
-def row_sums(matrix: DataFrame) -> DataFrame:
-    """One row a document: number of words and of distinct words, with what the shard carries beside them."""
-    first = lambda i: F.get("begins", i)
-    size = lambda i: (first(i + 1) - first(i)).cast("int")
-    row = lambda i: F.struct(
-        F.get("doc_id", i).alias("doc_id"), F.get("part", i).alias("part"), F.get("fails", i).alias("fails"), F.get("digest", i).alias("digest"),
-        F.aggregate(F.slice("counts", first(i).cast("int") + 1, size(i)), F.lit(0).cast("long"), lambda s, n: s + n).alias("n_words"),
-        F.size(F.filter(F.slice("terms", first(i).cast("int") + 1, size(i)), lambda t: t.isNotNull())).cast("long").alias("n_distinct"),
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_binary())
+            offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+            a = 0
+            while a < len(texts):
+                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + SHARD_BYTES, "right")) - 1)
+                own = offsets[a : b + 1] - offsets[a]
+                piece = data[offsets[a] : offsets[b]]
+                capitals = 100 * within(CAPITAL[piece], own) > MOST_CAPITALS_PERCENT * within((piece & 0xC0) != 0x80, own)
+                fails = 4 * capitals.astype(np.int32) + 8 * (within(MARK[piece], own) > 0).astype(np.int32)
+                view = memoryview(piece)
+                digests = [hashlib.sha256(view[x:y]).digest() for x, y in zip(own[:-1].tolist(), own[1:].tolist())]
+                begins, codes, counts, words = sparse_rows(piece, own, parts)
+                lists = [
+                    batch.column("doc_id")[a:b], batch.column("part")[a:b], pa.array(fails, pa.int32()), pa.array(digests, pa.binary()),
+                    pa.array(begins, pa.int64()), pa.array(codes, pa.int32()), pa.array(counts, pa.int32()), pa.array(words, pa.binary()),
+                ]
+                names = ["doc_id", "part", "fails", "digest", "begins", "codes", "counts", "words"]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *map(one_list, lists)], ["shard", *names])
+                number, a = number + 1, b
+
+    return run
+
+
+def numbered(key: tuple, rows: pa.Table) -> pa.Table:
+    """Number the different words of one hash value in the order of their bytes: for each shard the numbers of its words, and
+    one row without shard that holds the words. A word comes once from each shard at most."""
+    per_shard = [w.split(b"\n") for w in rows["words"].to_pylist()]
+    words = sorted(set().union(*per_shard))
+    place = {w: i for i, w in enumerate(words)}
+    places = [[place[w] for w in own] for own in per_shard]
+    return pa.table(
+        {
+            "shard": pa.array([*rows["shard"].to_pylist(), None], pa.int64()), "h": pa.array([key[0].as_py()] * (len(places) + 1), pa.int32()),
+            "places": pa.array([*places, None], pa.list_(pa.int32())), "words": pa.array([None] * len(places) + [b"\n".join(words)], pa.binary()),
+        }
     )
-    rows = F.transform(F.sequence(F.lit(0), F.size("doc_id") - 1), row)
-    return matrix.select(F.inline(rows))
+
+
+def renumbered(parts: int, local: pa.Table, places: pa.Table):
+    """(shard row, begins, terms, counts) of each shard: its columns under the numbers that hold for all shards."""
+    found = sorted(zip(places["h"].to_pylist(), range(len(places))))
+    lists = places["places"].combine_chunks()
+    terms = [lists[i].values.to_numpy().astype(np.int64) * parts + h for h, i in found]
+    terms = np.concatenate(terms) if terms else np.zeros(0, np.int64)
+    values = lambda c, i: local[c][i].values.to_numpy(zero_copy_only=False)
+    for i in range(len(local)):
+        yield i, values("begins", i), terms[values("codes", i)], values("counts", i)
+
+
+def matrix_rows(parts: int):
+    def run(local: pa.Table, places: pa.Table) -> pa.Table:
+        terms = [t for _, _, t, _ in renumbered(parts, local, places)]
+        return local.append_column("terms", pa.array(terms, pa.list_(pa.int64()))).select([c.split()[0] for c in MATRIX.split(", ")])
+
+    return run
+
+
+def sums_of(begins: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row sums and numbers of nonzero entries of sparse rows."""
+    sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    return sums[begins[1:]] - sums[begins[:-1]], np.diff(begins)
+
+
+def summed_rows(parts: int):
+    def run(local: pa.Table, places: pa.Table) -> pa.Table:
+        out = []
+        for i, begins, terms, counts in renumbered(parts, local, places):
+            n_words, n_distinct = sums_of(begins, terms, counts)
+            carried = {c: local[c][i].values for c in ("doc_id", "part", "fails", "digest")}
+            out.append(pa.table({**carried, "n_words": pa.array(n_words, pa.int64()), "n_distinct": pa.array(n_distinct, pa.int64())}))
+        return pa.concat_tables(out)
+
+    return run
+
+
+@dataclass(frozen=True)
+class TermMatrix:
+    """A document-term matrix: shards under their own numbers, bucketed by shard, and the global numbers of their words.
+
+    A word's number is its place among the words of its hash value, times the number of hash values, plus that value.
+    """
+
+    local: DataFrame
+    places: DataFrame
+    parts: int
+
+    @staticmethod
+    def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "source") -> TermMatrix:
+        """The dictionary is built in as many parts as the corpus has PART_BYTES; each is one bounded task."""
+        spark = docs.sparkSession
+        part_name = F.coalesce(col(part).cast("string"), F.lit(""))
+        some = docs.select(col(doc_id).cast("long").alias("doc_id"), part_name.alias("part"), whole_text(col(text)).alias("text"))
+        size = some.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        parts = max(8, math.ceil(size / PART_BYTES))
+        name, buckets = f"term_shards_{uuid.uuid4().hex[:12]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+        made = some.mapInArrow(shards(parts), SHARDS)
+        made.write.bucketBy(buckets, "shard").option("path", scratch_path(spark, "term_shards")).option("compression", "zstd").saveAsTable(name)
+        local = spark.table(name)
+        words = local.select("shard", F.posexplode("words").alias("h", "words")).filter(F.octet_length("words") > 0)
+        places = written(words.groupBy("h").applyInArrow(numbered, NUMBERED), "term_numbers")
+        return TermMatrix(local.drop("words"), places, parts)
+
+    def _beside(self, run, schema: str) -> DataFrame:
+        own = self.places.filter("shard IS NOT NULL").select("shard", "h", "places")
+        return self.local.groupBy("shard").cogroup(own.groupBy("shard")).applyInArrow(run(self.parts), schema)
+
+    def shards(self) -> DataFrame:
+        """(shard, doc_id[], part[], fails[], digest[], begins[], terms[], counts[]): row i of a shard has the columns
+        terms[begins[i]:begins[i+1]] with their counts."""
+        return self._beside(matrix_rows, MATRIX)
+
+    def row_sums(self) -> DataFrame:
+        """One row a document: the sum and the number of nonzero entries of its row, with what the shard carries beside."""
+        return self._beside(summed_rows, SUMS)
+
+    def dictionary(self) -> DataFrame:
+        """(term, word) of the different words of all texts."""
+        words = self.places.filter("shard IS NULL").select("h", F.posexplode(F.split(F.col("words").cast("string"), "\n")).alias("place", "word"))
+        return words.select((F.col("place").cast("long") * self.parts + F.col("h")).alias("term"), "word")
 
 
 def failures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:
@@ -149,8 +220,7 @@ def failures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part:
     Identical texts are found by SHA-256. The smallest id of each group of copies comes from a partial aggregate, and only
     groups of two and more are joined back, which the adaptive planner splits where a group is large.
     """
-    matrix, _ = term_matrix(docs, doc_id, text, part)
-    rows = written(row_sums(matrix), "row_sums")
+    rows = written(TermMatrix.build(docs, doc_id, text, part).row_sums(), "row_sums")
     firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").drop("n")
     rows = rows.join(firsts, "digest", "left")
     short = F.col("n_words") < LEAST_WORDS
