@@ -81,15 +81,6 @@ def _(t):
     return rows.select("vec_id", F.round("norm", 5).alias("norm"), F.round(F.get("unit", F.lit(0)), 5).alias("first"))
 
 
-@query(
-    "N19_anomaly_score",
-    f"WITH {CENTRES} SELECT vec_id FROM (SELECT vec_id, {DOT} / ({_len('a')} * {_len('b')}) AS s FROM e) WHERE s < 0.2",
-)
-def _(t):
-    s = F.try_divide(dot("a", "b"), norm("a") * norm("b"))
-    return with_centres(t).filter(s < 0.2).select("vec_id")
-
-
 @query(
     "N16_chunking",
     r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r]+'), lambda x: x <> '') AS w FROM documents)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,3 +86,72 @@ def appended(stream: DataFrame, label: str) -> DataFrame:
     """Run an append-mode stream to the end of its input and read the rows it wrote."""
     root = scratch_path(stream.sparkSession, label)
     return append_files(stream, f"{root}/out", f"{root}/checkpoint")
+
+
+#: A row this long after the last one closes what a stream still holds; it is in no result itself.
+LONG_AFTER = F.expr("INTERVAL 1000 DAYS")
+
+
+def replay(
+    rows: DataFrame, label: str, event_time: str, n_pieces: int = 2, arrival: Column | None = None, closing: Sequence[dict[str, Column]] = ({},)
+) -> str:
+    """Write a table as a stream would bring it and return the folder: `n_pieces` equal stretches of arrival time, one
+    behind the other, then closing rows far after the last event. Their columns are null but for the event time and what
+    `closing` gives; a filter of the stream must let one of them through, or the watermark stays where it is.
+
+    `arrival` is the event time by default; where it is later, rows come late. Rows without an event time come first.
+    """
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, label)
+    came = (F.col(event_time) if arrival is None else arrival).cast("timestamp")
+    first, last, end = rows.select(F.min(came), F.max(came), F.max(F.col(event_time).cast("timestamp"))).first()
+    for piece in range(n_pieces if last is not None else 0):
+        step = (last - first) / n_pieces
+        after, until = came > F.lit(first + piece * step), came <= F.lit(first + (piece + 1) * step)
+        if piece == 0:
+            after = F.lit(True)
+        if piece == n_pieces - 1:
+            until = F.lit(True)
+        inside = F.coalesce(after & until, F.lit(piece == 0))
+        rows.filter(inside).write.mode("append").parquet(path)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    at = F.coalesce(F.lit(end), F.lit("2000-01-01").cast("timestamp")) + LONG_AFTER
+    ending = [F.struct(*(({event_time: at} | values).get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items())) for values in closing]
+    spark.range(1).select(F.inline(F.array(*ending))).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def replayed(
+    rows: DataFrame, label: str, event_time: str, delay: str, n_pieces: int = 2, arrival: Column | None = None, closing: Sequence[dict[str, Column]] = ({},)
+) -> DataFrame:
+    """`replay` as a stream with a watermark, one file a micro-batch."""
+    path = replay(rows.coalesce(1), label, event_time, n_pieces, arrival, closing)
+    stream = file_stream(rows.sparkSession, path, rows.schema, files_per_trigger=1)
+    return stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
+
+
+def routed(
+    stream: DataFrame, label: str, event_time: str, delay: str, on_time: Callable[[DataFrame, int], None], late: Callable[[DataFrame, int], None]
+) -> None:
+    """Hand the rows of each micro-batch that are older than the watermark to `late`, the others to `on_time`.
+
+    The watermark is the greatest event time of earlier batches less `delay`. Each batch notes its greatest event time
+    under its number, so a replayed batch notes the same and is divided the same.
+    """
+    spark, root = stream.sparkSession, scratch_path(stream.sparkSession, label)
+    kind = "batch long, upto timestamp"
+    spark.createDataFrame([], kind).write.parquet(f"{root}/notes/first")
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist()
+        try:
+            notes = spark.read.schema(kind).option("recursiveFileLookup", True).parquet(f"{root}/notes")
+            mark = notes.filter(F.col("batch") < batch_id).agg((F.max("upto") - F.expr(f"INTERVAL {delay}")).alias("mark")).first()["mark"]
+            behind = F.coalesce(F.col(event_time) < F.lit(mark).cast("timestamp"), F.lit(False))
+            on_time(rows.filter(~behind), batch_id)
+            late(rows.filter(behind), batch_id)
+            noted = rows.agg(F.lit(batch_id).cast("long").alias("batch"), F.max(event_time).cast("timestamp").alias("upto"))
+            noted.write.mode("overwrite").parquet(f"{root}/notes/b{batch_id}")
+        finally:
+            rows.unpersist()
+
+    each_batch(stream, handle, f"{root}/checkpoint")
