@@ -227,7 +227,7 @@ class ProductCodes:
         width = len(first["v"]) if first else 0
         cuts = [round(p * width / n_parts) for p in range(n_parts + 1)]
 
-        def fit(key, table: pa.Table) -> pa.Table:
+        def fit(key: tuple, table: pa.Table) -> pa.Table:
             p = key[0].as_py()
             book = lloyd(matrix(table["v"])[:, cuts[p] : cuts[p + 1]], n_words, rounds, p)
             return pa.table({"p": pa.array([p], pa.int32()), "book": pa.array([book.ravel().tolist()], pa.list_(pa.float64()))})
