@@ -56,7 +56,7 @@ ROUNDS, DAMPING = 10, 0.85
 
 def rank_sql() -> str:
     """The rounds written out one after the other."""
-    steps = [f"r0 AS (SELECT p_partkey AS node, 1.0::DOUBLE / (SELECT count(*) FROM part) AS rank FROM part)"]
+    steps = ["r0 AS (SELECT p_partkey AS node, 1.0::DOUBLE / (SELECT count(*) FROM part) AS rank FROM part)"]
     for i in range(ROUNDS):
         steps.append(
             f"""r{i + 1} AS MATERIALIZED (SELECT node, {1 - DAMPING!r}::DOUBLE / c.n + {DAMPING}::DOUBLE * coalesce(l.loose, 0) / c.n + {DAMPING}::DOUBLE * coalesce(got, 0) AS rank
@@ -153,12 +153,12 @@ def _(t):
 @query(
     "O4_typed_path_filter_first",
     """SELECT DISTINCT n_name, l_partkey FROM nation JOIN supplier ON s_nationkey = n_nationkey JOIN lineitem ON l_suppkey = s_suppkey JOIN orders ON o_orderkey = l_orderkey
-       WHERE s_acctbal > 9000 AND o_orderstatus = 'F' AND l_quantity = 50""",
+       WHERE s_acctbal > 5000 AND o_orderstatus = 'F' AND l_quantity >= 45""",
 )
 def _(t):
     """Suppliers of high balance first, then their lines, orders and nation."""
-    some = t.supplier.filter("s_acctbal > 9000").join(t.nation, F.expr("n_nationkey = s_nationkey"))
-    hops = t.lineitem.filter("l_quantity = 50").join(some, F.expr("l_suppkey = s_suppkey"))
+    some = t.supplier.filter("s_acctbal > 5000").join(t.nation, F.expr("n_nationkey = s_nationkey"))
+    hops = t.lineitem.filter("l_quantity >= 45").join(some, F.expr("l_suppkey = s_suppkey"))
     return hops.join(t.orders.filter("o_orderstatus = 'F'"), F.expr("o_orderkey = l_orderkey"), "left_semi").select("n_name", "l_partkey").distinct()
 
 
