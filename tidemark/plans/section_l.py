@@ -19,7 +19,7 @@ from tidemark.streaming.run import append_files, appended, each_batch, event_str
 
 HOUR, DAY = 3_600_000, 86_400_000
 #: The closing rows pass every filter of this module.
-CLOSING = tuple({"event_type": F.lit(kind), "value": F.lit(1e9), "user_id": F.lit(-1), "event_id": F.lit(-1)} for kind in ("click", "error", "purchase"))
+CLOSING = tuple({"event_type": kind, "value": 1e9, "user_id": -1, "event_id": -1} for kind in ("click", "error", "purchase"))
 
 
 def whole(t, delay="1 hour"):
@@ -42,14 +42,17 @@ def start(df, *columns):
 
 
 #: Sums of whole cents do not depend on the order of the rows.
-CENTS = F.sum(F.round(F.col("value") * 100).cast("long"))
+def cents():
+    return F.sum(F.round(F.col("value") * 100).cast("long"))
+
+
 SQL_CENTS = "CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT)"
 TUMBLE = "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M') AS start, {} FROM events GROUP BY 1"
 
 
 @query("L3_tumbling_window", TUMBLE.format(f"user_id, count(*) AS n, {SQL_CENTS} AS cents") + ", user_id")
 def _(t):
-    rows = windowed(t, "1 day", None, "user_id").agg(F.count("*").alias("n"), CENTS.alias("cents"))
+    rows = windowed(t, "1 day", None, "user_id").agg(F.count("*").alias("n"), cents().alias("cents"))
     return start(appended(rows, "tumbling"), "user_id", "n", "cents")
 
 
@@ -116,7 +119,7 @@ def _(t):
         GROUP BY 1, 2 HAVING count(*) >= 2 AND {SQL_CENTS} > 20000""",
 )
 def _(t):
-    large = events(t).filter("value > 50").groupBy(F.window("ts", "1 day"), "user_id").agg(F.count("*").alias("n"), CENTS.alias("cents"))
+    large = events(t).filter("value > 50").groupBy(F.window("ts", "1 day"), "user_id").agg(F.count("*").alias("n"), cents().alias("cents"))
     return start(appended(large.filter("n >= 2 AND cents > 20000"), "large"), "user_id", "n", "cents")
 
 
@@ -305,7 +308,7 @@ def _(t):
 @query("L18_running_daily_gmv", f"SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, {SQL_CENTS} AS cents FROM events WHERE event_type = 'purchase' GROUP BY 1")
 def _(t):
     """A total for each day without window: update mode, the last row of a day is kept by key. State grows by one row a day."""
-    rows = events(t).filter("event_type = 'purchase' AND user_id >= 0").groupBy(F.to_date("ts").cast("string").alias("day")).agg(CENTS.alias("cents"))
+    rows = events(t).filter("event_type = 'purchase' AND user_id >= 0").groupBy(F.to_date("ts").cast("string").alias("day")).agg(cents().alias("cents"))
     return final_state(rows, "running", ["day"])
 
 
@@ -315,7 +318,7 @@ def _(t):
 )
 def _(t):
     """Sums by user, row by row; state ends with the week."""
-    return start(appended(windowed(t, "7 days", None, "user_id").agg(CENTS.alias("cents")), "reduced"), "user_id", "cents")
+    return start(appended(windowed(t, "7 days", None, "user_id").agg(cents().alias("cents")), "reduced"), "user_id", "cents")
 
 
 @query(
@@ -325,7 +328,7 @@ def _(t):
 )
 def _(t):
     """The mean of a finished window with its bounds."""
-    mean = F.round(CENTS / F.count("value") / 100, 4).alias("mean")
+    mean = F.round(cents() / F.count("value") / 100, 4).alias("mean")
     done = appended(windowed(t, "1 day", None, "user_id").agg(mean), "full_window")
     return start(done, "user_id", F.date_format("window.end", "yyyy-MM-dd HH:mm").alias("stop"), "mean")
 
@@ -430,7 +433,7 @@ def _(t):
 )
 def _(t):
     """The five best of the newest finished window, read from the stream's sink table."""
-    done = start(appended(windowed(t, "1 day", None, "user_id").agg(CENTS.alias("cents")), "sums"), "user_id", "cents")
+    done = start(appended(windowed(t, "1 day", None, "user_id").agg(cents().alias("cents")), "sums"), "user_id", "cents")
     newest = done.agg(F.max("start").alias("start"))
     return done.join(F.broadcast(newest), "start").orderBy(F.desc("cents"), "user_id").limit(5).select("user_id", "cents")
 

@@ -89,11 +89,15 @@ def appended(stream: DataFrame, label: str) -> DataFrame:
 
 
 #: A row this long after the last one closes what a stream still holds; it is in no result itself.
-LONG_AFTER = F.expr("INTERVAL 1000 DAYS")
+LONG_AFTER = "INTERVAL 1000 DAYS"
+
+
+def as_column(value) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
 
 
 def replay(
-    rows: DataFrame, label: str, event_time: str, n_pieces: int = 2, arrival: Column | None = None, closing: Sequence[dict[str, Column]] = ({},)
+    rows: DataFrame, label: str, event_time: str, n_pieces: int = 2, arrival: Column | None = None, closing: Sequence[dict] = ({},)
 ) -> str:
     """Write a table as a stream would bring it and return the folder: `n_pieces` equal stretches of arrival time, one
     behind the other, then closing rows far after the last event. Their columns are null but for the event time and what
@@ -114,14 +118,14 @@ def replay(
         inside = F.coalesce(after & until, F.lit(piece == 0))
         rows.filter(inside).write.mode("append").parquet(path)
     kinds = {f.name: f.dataType for f in rows.schema.fields}
-    at = F.coalesce(F.lit(end), F.lit("2000-01-01").cast("timestamp")) + LONG_AFTER
-    ending = [F.struct(*(({event_time: at} | values).get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items())) for values in closing]
+    at = F.coalesce(F.lit(end), F.lit("2000-01-01").cast("timestamp")) + F.expr(LONG_AFTER)
+    ending = [F.struct(*(as_column(({event_time: at} | values).get(name)).cast(kind).alias(name) for name, kind in kinds.items())) for values in closing]
     spark.range(1).select(F.inline(F.array(*ending))).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
 def replayed(
-    rows: DataFrame, label: str, event_time: str, delay: str, n_pieces: int = 2, arrival: Column | None = None, closing: Sequence[dict[str, Column]] = ({},)
+    rows: DataFrame, label: str, event_time: str, delay: str, n_pieces: int = 2, arrival: Column | None = None, closing: Sequence[dict] = ({},)
 ) -> DataFrame:
     """`replay` as a stream with a watermark, one file a micro-batch."""
     path = replay(rows.coalesce(1), label, event_time, n_pieces, arrival, closing)
