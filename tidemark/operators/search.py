@@ -281,3 +281,22 @@ def re_ranked(candidates: DataFrame, rows: DataFrame, queries: DataFrame, k: int
     both = both.join(queries.select(F.col("id").alias("query_id"), "v"), "query_id")
     squares = F.aggregate(F.zip_with("x", "v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
     return first_of(both.select("query_id", "id", F.sqrt(squares).alias("distance")), k)
+
+
+def signed_keys(rows: DataFrame, n_tables: int, bits: int) -> DataFrame:
+    """(id, t, key): the signs of `bits` sums of the components with changing signs (rows of a Walsh matrix), by table."""
+
+    def positive(m):
+        signed = F.transform("v", lambda x, i: x * (1 - 2 * F.pmod(F.bit_count(i.bitwiseAND(m)), F.lit(2))))
+        return (F.aggregate(signed, F.lit(0.0), lambda s, x: s + x) > 0).cast("int").cast("string")
+
+    signs = rows.select("id", F.transform(F.sequence(F.lit(1), F.lit(n_tables * bits)), positive).alias("signs"))
+    table = F.explode(F.sequence(F.lit(0), F.lit(n_tables - 1))).alias("t")
+    return signs.select("id", "signs", table).select("id", "t", F.array_join(F.slice("signs", F.col("t") * bits + 1, F.lit(bits)), "").alias("key"))
+
+
+def lsh_candidates(rows: DataFrame, queries: DataFrame, n_tables: int, bits: int) -> DataFrame:
+    """(query_id, id) of the rows that share a bucket with a query in one table at least. The planner splits a bucket that
+    holds much."""
+    asked = signed_keys(queries, n_tables, bits).withColumnRenamed("id", "query_id")
+    return asked.join(signed_keys(rows, n_tables, bits), ["t", "key"]).filter("id <> query_id").select("query_id", "id").distinct()

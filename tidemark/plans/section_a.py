@@ -317,7 +317,6 @@ def _(t):
     source = t.orders.withColumns({"day": F.trunc("o_orderdate", "month"), "year": year})
     summary = summary_of(t)
     summary.refresh(source)
-    summary.refresh(source)
     return summary.read().select("day", "orders", "gmv")
 
 

@@ -169,16 +169,27 @@ def _(t):
     return joined.select("c_custkey", "n", "amount", "status").fillna(0, ["n", "amount"]).fillna("-", ["status"])
 
 
-@query("B17_sample")
+def drawn(label):
+    """A number from 0 to 99 by a hash of the key, so that the sample is the same however the table is laid out."""
+    key = F.concat_ws(":", F.lit(label), "l_orderkey", "l_linenumber")
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 100
+
+
+DRAWN = "CAST('0x' || substr(md5('{}:' || l_orderkey || ':' || l_linenumber), 1, 8) AS BIGINT) % 100"
+
+
+@query("B17_sample", f"SELECT l_orderkey, l_linenumber FROM lineitem WHERE {DRAWN.format('sample')} < 5")
 def _(t):
-    """A seeded row sample; the sampling is the feature."""
-    return t.lineitem.sample(False, 0.05, seed=7).select("l_orderkey", "l_linenumber")
+    """One row in twenty for development; the sampling is the feature."""
+    return t.lineitem.filter(drawn("sample") < 5).select("l_orderkey", "l_linenumber")
 
 
-@query("B18_table_sample")
+@query("B18_table_sample", f"SELECT l_orderkey, l_linenumber FROM lineitem WHERE {DRAWN.format('table')} < 10")
 def _(t):
+    """A table sample clause of ten percent, repeatable under its label, in SQL."""
     t.register("lineitem")
-    return t.spark.sql("SELECT l_orderkey, l_linenumber FROM lineitem TABLESAMPLE (10 PERCENT) REPEATABLE (7)")
+    draw = "CAST(conv(substring(md5(concat_ws(':', 'table', l_orderkey, l_linenumber)), 1, 8), 16, 10) AS LONG) % 100"
+    return t.spark.sql(f"SELECT l_orderkey, l_linenumber FROM lineitem WHERE {draw} < :percent", args={"percent": 10})
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranks import not_in
 from tidemark.plans.registry import query
 from tidemark.runtime import broadcast_if_small
 from tidemark.sources import publish
@@ -93,14 +94,10 @@ def _(t):
        UNION ALL SELECT 'with a NULL', count(*) FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM holed)""",
 )
 def _(t):
-    t.register("events", "customer")
-    return t.spark.sql(
-        """WITH listed AS (SELECT user_id FROM events WHERE event_type = 'error'),
-           holed AS (SELECT user_id FROM listed UNION ALL SELECT NULL)
-           SELECT 'clean list' AS list, count(*) AS n FROM customer
-           WHERE c_custkey NOT IN (SELECT user_id FROM listed WHERE user_id IS NOT NULL)
-           UNION ALL SELECT 'with a NULL', count(*) FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM holed)"""
-    )
+    listed = t.events.filter("event_type = 'error'").select("user_id")
+    holed = listed.union(t.spark.range(1).select(F.lit(None).cast("long")))
+    count = lambda name, values: not_in(t.customer, "c_custkey", values, "user_id").agg(F.lit(name).alias("list"), F.count("*").alias("n"))
+    return count("clean list", listed.filter("user_id IS NOT NULL")).union(count("with a NULL", holed))
 
 
 @query(

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranks import value_ranks
 from tidemark.plans.registry import query
+from tidemark.plans.section_d import mean
 from tidemark.plans.section_main import date_spine
 
 
@@ -29,18 +31,14 @@ def _(t):
 SIZES = "FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_size DESC)"
 
 
-def by_size():
-    return Window.partitionBy("p_brand").orderBy(F.desc("p_size"))
-
-
 @query("E2_rank", f"SELECT p_partkey, rank() OVER w AS rank {SIZES}")
 def _(t):
-    return t.part.select("p_partkey", F.rank().over(by_size()).alias("rank"))
+    return value_ranks(t.part, "p_brand", "p_size").select("p_partkey", "rank")
 
 
 @query("E3_dense_rank", f"SELECT p_partkey, dense_rank() OVER w AS rank {SIZES}")
 def _(t):
-    return t.part.select("p_partkey", F.dense_rank().over(by_size()).alias("rank"))
+    return value_ranks(t.part, "p_brand", "p_size").select("p_partkey", F.col("dense_rank").alias("rank"))
 
 
 @query(
@@ -185,11 +183,11 @@ def _(t):
 
 @query(
     "E17_best_variant_per_window",
-    """SELECT CAST(day AS VARCHAR) AS day, event_type, mean FROM (SELECT CAST(ts AS DATE) AS day, event_type, round(avg(value), 4) AS mean FROM events GROUP BY 1, 2)
+    """SELECT CAST(day AS VARCHAR) AS day, event_type, mean FROM (SELECT CAST(ts AS DATE) AS day, event_type, round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) + 1e-9, 4) AS mean FROM events GROUP BY 1, 2)
        QUALIFY row_number() OVER (PARTITION BY day ORDER BY mean DESC, event_type) = 1""",
 )
 def _(t):
-    rates = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.round(F.avg("value"), 4).alias("mean"))
+    rates = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(mean("value").alias("mean"))
     best = Window.partitionBy("day").orderBy(F.desc("mean"), "event_type")
     return rates.withColumn("n", F.row_number().over(best)).filter("n = 1").drop("n")
 
@@ -222,9 +220,8 @@ def _(t):
     "SELECT p_partkey, (SELECT count(*) FROM part q WHERE q.p_brand = p.p_brand AND q.p_size >= p.p_size) AS rank FROM part p",
 )
 def _(t):
-    # The same count as a frame: all sizes not smaller than mine.
-    frame = Window.partitionBy("p_brand").orderBy(F.desc("p_size")).rangeBetween(Window.unboundedPreceding, 0)
-    return t.part.select("p_partkey", F.count("*").over(frame).alias("rank"))
+    # All sizes not smaller than mine, counted by size first.
+    return value_ranks(t.part.filter("p_size IS NOT NULL"), "p_brand", "p_size").select("p_partkey", F.col("reached").alias("rank"))
 
 
 @query(
@@ -239,11 +236,14 @@ def _(t):
 
 @query(
     "E23_count_avg_over",
-    "SELECT s_suppkey, count(*) OVER (PARTITION BY s_nationkey) AS n, round(avg(s_acctbal) OVER (PARTITION BY s_nationkey), 4) AS mean FROM supplier",
+    """SELECT s_suppkey, count(*) OVER w AS n, round(CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) OVER w AS DOUBLE) / count(s_acctbal) OVER w + 1e-9, 4) AS mean
+       FROM supplier WINDOW w AS (PARTITION BY s_nationkey)""",
 )
 def _(t):
-    nation = Window.partitionBy("s_nationkey")
-    return t.supplier.select("s_suppkey", F.count("*").over(nation).alias("n"), F.round(F.avg("s_acctbal").over(nation), 4).alias("mean"))
+    """Aggregated by nation and joined back: a window would put a nation's rows into one task."""
+    average = mean("s_acctbal").alias("mean")
+    each = t.supplier.groupBy(F.col("s_nationkey").alias("nation")).agg(F.count("*").alias("n"), average)
+    return t.supplier.join(each, F.col("s_nationkey").eqNullSafe(F.col("nation"))).select("s_suppkey", "n", "mean")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import merge_by_key
+from tidemark.operators import graph
 from tidemark.plans.registry import query
 from tidemark.sources import files
 
@@ -93,17 +94,14 @@ PARENTS = "parents AS (SELECT p_partkey AS id, p_partkey // 3 AS parent FROM par
 
 @query(
     "G5_recursive_hierarchy",
-    f"""WITH RECURSIVE {PARENTS}, tree AS (SELECT id, 0 AS depth FROM parents WHERE id <= 3
-        UNION ALL SELECT p.id, depth + 1 FROM parents p JOIN tree ON p.parent = tree.id AND p.id > 3) SELECT id, depth FROM tree""",
+    f"""WITH RECURSIVE {PARENTS}, tree AS (SELECT id, 0 AS depth FROM parents WHERE parent = id OR parent NOT IN (SELECT id FROM parents)
+        UNION ALL SELECT p.id, depth + 1 FROM parents p JOIN tree ON p.parent = tree.id AND p.parent <> p.id) SELECT id, depth FROM tree""",
 )
 def _(t):
-    t.register("part")
-    return t.spark.sql(
-        """WITH RECURSIVE parents AS (SELECT p_partkey AS id, p_partkey div 3 AS parent FROM part),
-           tree AS (SELECT id, 0 AS depth FROM parents WHERE id <= 3
-                    UNION ALL SELECT p.id, depth + 1 FROM parents p JOIN tree ON p.parent = tree.id AND p.id > 3)
-           SELECT id, depth FROM tree"""
-    )
+    """Depth below the parts whose parent is no other part: level by level, each level a join of stored tables, until one is empty."""
+    links = t.part.select(F.expr("p_partkey div 3").alias("src"), F.col("p_partkey").alias("dst"))
+    roots = links.join(t.part, F.expr("src = p_partkey AND src <> dst"), "left_anti").select(F.col("dst").alias("node"))
+    return graph.shortest_paths(links, roots).select(F.col("node").alias("id"), F.col("distance").cast("int").alias("depth"))
 
 
 @query(

@@ -242,3 +242,10 @@ def _(t):
     rows = t.lineitem.groupBy(F.col("l_partkey").alias("node")).agg(F.count("*").alias("lines"))
     both = edges.join(rows, "node", "full").select("node", F.coalesce("edges", F.lit(0)).alias("edges"), F.coalesce("lines", F.lit(0)).alias("lines"))
     return both.filter("edges <> lines")
+
+
+@query("O16_graph_embedding")
+def _(t):
+    """Vectors of parts from random walks over heavy edges."""
+    walks = graph.random_walks(heavy(t), walks=2, steps=4, seed=11)
+    return graph.node_vectors(walks).select("node", F.size("vector").alias("n"), F.transform("vector", lambda x: F.round(x, 4)).alias("vector"))

@@ -265,10 +265,10 @@ one("H34_string_length", "doc_id, length(text) AS n", "documents", "doc_id", "CA
 one("H35_substring", "doc_id, substr(text, 1, 2) AS head", "documents", "doc_id", "substring(text, 1, 2) AS head")
 one(
     "H36_current_time",
-    "o_orderkey, CAST(o_orderdate AS TIMESTAMP) <= now()::TIMESTAMP AS past",
+    "o_orderkey, CAST(current_date - CAST(o_orderdate AS DATE) AS INT) AS age",
     "orders",
     "o_orderkey",
-    "CAST(o_orderdate AS TIMESTAMP) <= current_timestamp() AS past",
+    "datediff(current_date(), o_orderdate) AS age",
 )
 one("H37_add_days", "o_orderkey, CAST(CAST(o_orderdate AS DATE) + 10 AS VARCHAR) AS due", "orders", "o_orderkey", "date_add(to_date(o_orderdate), 10) AS due")
 one(

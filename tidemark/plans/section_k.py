@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.registry import query
+from tidemark.plans.section_d import mean
 from tidemark.plans.section_main import date_spine
 from tidemark.sources.tables import SCHEMAS
 
@@ -54,12 +55,15 @@ def _(t):
 
 @query(
     "K5_missing_days",
-    f"""SELECT CAST(d AS VARCHAR) AS day FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS d FROM {DIRTY} WHERE o_orderkey % 3 = 0)
-        WHERE d NOT IN (SELECT day FROM {DIRTY} WHERE o_orderkey % 3 = 0)""",
+    f"""WITH d AS (SELECT DISTINCT status, day FROM {DIRTY} WHERE status IS NOT NULL AND day IS NOT NULL),
+        s AS (SELECT status, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d GROUP BY 1)
+        SELECT status, CAST(day AS VARCHAR) AS day FROM s ANTI JOIN d USING (status, day)""",
 )
 def _(t):
-    days = dirty(t).filter("o_orderkey % 3 = 0").select("day").distinct()  # a source that lost two rows of three
-    return date_spine(days).join(days, "day", "left_anti")
+    """Days between the first and the last of a status on which it has no order."""
+    days = dirty(t).select("status", "day").filter("status IS NOT NULL AND day IS NOT NULL").distinct()
+    spine = days.groupBy("status").agg(F.explode(F.sequence(F.min("day"), F.max("day"))).alias("day"))
+    return spine.join(days, ["status", "day"], "left_anti")
 
 
 @query(
@@ -213,11 +217,11 @@ def _(t):
 
 @query(
     "K22_run_time_trend",
-    """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS job, round(avg(value), 4) AS mean, max(value) AS slowest FROM events GROUP BY 1, 2""",
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS job, round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) + 1e-9, 4) AS mean, max(value) AS slowest FROM events GROUP BY 1, 2""",
 )
 def _(t):
     by = t.events.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_type").alias("job"))
-    return by.agg(F.round(F.avg("value"), 4).alias("mean"), F.max("value").alias("slowest"))
+    return by.agg(mean("value").alias("mean"), F.max("value").alias("slowest"))
 
 
 @query(
@@ -233,7 +237,7 @@ def _(t):
     "K26_field_catalogue",
     " UNION ALL ".join(
         f"SELECT '{table}' AS name, '{f.split()[0]}' AS field, count(*) AS n, count({f.split()[0]}) AS filled FROM {table}"
-        for table in ("orders", "part")
+        for table in SCHEMAS
         for f in SCHEMAS[table].split(", ")
     ),
 )
@@ -243,12 +247,15 @@ def _(t):
         wide = df.agg(F.count("*").alias("n"), *(F.count(c).alias(c) for c in df.columns))
         return wide.unpivot(["n"], df.columns, "field", "filled").select(F.lit(name).alias("name"), "field", "n", "filled")
 
-    return fields("orders").unionByName(fields("part"))
+    found = fields("region")
+    for name in [n for n in SCHEMAS if n != "region"]:
+        found = found.unionByName(fields(name))
+    return found
 
 
-@query("K29_row_policy", "SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_suppkey <= 3)")
+@query("K29_row_policy", "SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)")
 def _(t):
-    granted = t.supplier.filter("s_suppkey <= 3").select(F.col("s_nationkey").alias("c_nationkey"))  # the user's nations
+    granted = t.supplier.filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("c_nationkey"))  # the user's nations
     allowed = t.customer.join(granted, "c_nationkey", "left_semi").select(F.col("c_custkey").alias("o_custkey"))
     return t.orders.join(allowed, "o_custkey", "left_semi").select("o_orderkey")
 

@@ -4,22 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import layout
 from tidemark.plans.registry import query
 from tidemark.runtime import scratch_path
 from tidemark.sources import files, publish
 
 
-@query("M1_scalar_function", "SELECT p_partkey, p_retailprice * CAST(1.13 AS DOUBLE) AS gross FROM part")
-def _(t):
-    """A vectorised function of one's own, for what no built-in says."""
-
-    @F.pandas_udf("double")
-    def gross(price):
-        return price * 1.13
-
-    return t.part.select("p_partkey", gross("p_retailprice").alias("gross"))
-
-
 @query("M7_sql_macro", "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_totalprice >= 100000 GROUP BY 1")
 def _(t):
     t.register("orders")
@@ -83,16 +73,15 @@ def _(t):
 
 @query(
     "N16_chunking",
-    r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r]+'), lambda x: x <> '') AS w FROM documents)
-        SELECT doc_id, CAST(s AS INT) AS start, len(w[s + 1 : s + 128]) AS n FROM (SELECT doc_id, w, unnest(range(0, len(w), 96)) AS s FROM w)""",
+    """SELECT doc_id, CAST(s AS INT) AS start, substr(text, s + 1, 512) AS chunk FROM
+       (SELECT doc_id, text, unnest(range(0, CASE WHEN length(text) > 0 THEN greatest(length(text) - 128, 1) ELSE 0 END, 384)) AS s FROM documents)""",
 )
 def _(t):
-    """Windows of 128 words that overlap by 32."""
-    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\r]+"), lambda w: w != "")
-    rows = t.documents.select("doc_id", words.alias("w"))
-    starts = F.when(F.size("w") > 0, F.sequence(F.lit(0), F.size("w") - 1, F.lit(96)))
-    chunks = rows.select("doc_id", "w", F.explode(starts).alias("start"))
-    return chunks.select("doc_id", "start", F.size(F.slice("w", F.col("start") + 1, F.lit(128))).cast("long").alias("n"))
+    """Chunks of 512 characters that overlap by 128. The last one is not whole; none lies inside the one before it."""
+    last = F.greatest(F.char_length("text") - 129, F.lit(0))
+    starts = F.when(F.char_length("text") > 0, F.sequence(F.lit(0), last, F.lit(384)))
+    rows = t.documents.select("doc_id", "text", F.explode(starts).alias("start"))
+    return rows.select("doc_id", "start", F.expr("substring(text, start + 1, 512)").alias("chunk"))
 
 
 EDGES = "(SELECT o_custkey AS a, l_partkey AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey)"
@@ -131,10 +120,13 @@ def _(t):
     return bought(t).distinct().groupBy("a").agg(F.count("b").alias("degree"))
 
 
-@query("O17_supernodes", f"WITH d AS (SELECT b, count(DISTINCT a) AS n FROM {EDGES} GROUP BY 1) SELECT DISTINCT a, b FROM {EDGES} WHERE b NOT IN (SELECT b FROM d WHERE n > 40)")
+@query("O17_supernodes", f"WITH d AS (SELECT b, count(DISTINCT a) AS n FROM {EDGES} GROUP BY 1) SELECT DISTINCT a, b FROM {EDGES} WHERE b NOT IN (SELECT b FROM d WHERE n > (SELECT quantile_cont(n, 0.95) FROM d))")
 def _(t):
+    """The edges without those to parts of more neighbours than 95 in a hundred parts have."""
     e = bought(t).distinct()
-    hubs = e.groupBy("b").agg(F.count("a").alias("n")).filter("n > 40").select("b")
+    degrees = e.groupBy("b").agg(F.count("a").alias("n"))
+    most = degrees.agg(F.percentile("n", 0.95).alias("most"))  # one row; degrees are counted by value
+    hubs = degrees.join(F.broadcast(most)).filter("n > most").select("b")
     return e.join(hubs, "b", "left_anti").select("a", "b")
 
 
@@ -157,19 +149,25 @@ def _(t):
     return t.orders.select("o_custkey").repartition("o_custkey").groupBy("o_custkey").agg(F.count("*").alias("n"))
 
 
-@query("P3_partition_kinds", "SELECT kind, count(*) AS n FROM orders, (VALUES ('range'), ('list'), ('hash')) k(kind) GROUP BY 1")
+BUCKET = "CAST('0x' || substr(md5(CAST(o_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 8"
+
+
+@query(
+    "P3_partition_kinds",
+    f"""SELECT 'range' AS kind, CAST(year(o_orderdate) AS VARCHAR) AS part, count(*) AS n FROM orders GROUP BY 2
+        UNION ALL SELECT 'list', o_orderstatus, count(*) FROM orders GROUP BY 2 UNION ALL SELECT 'hash', CAST({BUCKET} AS VARCHAR), count(*) FROM orders GROUP BY 2""",
+)
 def _(t):
-    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("s"))
-    kinds = {"range": rows.repartitionByRange(4, "o_orderkey"), "hash": rows.repartition(4, "o_orderkey")}
-    parts = []
-    for kind, df in kinds.items():
+    """Rows of each partition folder, dealt by a range of dates, a list of values and a hash."""
+    hashed = F.conv(F.substring(F.md5(F.col("o_custkey").cast("string")), 1, 8), 16, 10).cast("long") % 8
+    kinds = {"range": F.year("o_orderdate"), "list": F.col("o_orderstatus"), "hash": hashed}
+    found = []
+    for kind, part in kinds.items():
         path = scratch_path(t.spark, kind)
-        df.write.parquet(path)
-        parts.append(t.spark.read.schema(rows.schema).parquet(path).select(F.lit(kind).alias("kind")))
-    path = scratch_path(t.spark, "list")
-    files.write_partitioned(rows, path, ["s"])
-    parts.append(t.spark.read.schema(rows.schema).parquet(path).select(F.lit("list").alias("kind")))
-    return parts[0].union(parts[1]).union(parts[2]).groupBy("kind").agg(F.count("*").alias("n"))
+        files.write_partitioned(t.orders.select("o_orderkey", part.cast("string").alias("part")), path, ["part"])
+        stored = t.spark.read.schema("o_orderkey long, part string").parquet(path)
+        found.append(stored.groupBy("part").agg(F.count("o_orderkey").alias("n")).select(F.lit(kind).alias("kind"), "part", "n"))
+    return found[0].union(found[1]).union(found[2])
 
 
 @query("P4_bucketing", "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1")
@@ -178,8 +176,21 @@ def _(t):
     return table.groupBy("l_orderkey").agg(F.count("*").alias("n"))
 
 
-@query("P6_min_max_skip", "SELECT o_orderkey FROM orders WHERE o_orderkey BETWEEN 100 AND 220")
+@query("P5_sort_key", "SELECT o_custkey, o_orderdate::VARCHAR AS day, o_orderkey FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderkey FROM orders) WHERE o_custkey BETWEEN 10 AND 30")
+def _(t):
+    """Files sorted by (customer, date): a range of customers reads the row groups that hold it."""
+    rows = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderkey")
+    path = scratch_path(t.spark, "sort_key")
+    layout.write_sorted(rows, path, ["o_custkey", "day"], 8)
+    return t.spark.read.schema(rows.schema).parquet(path).filter("o_custkey BETWEEN 10 AND 30")
+
+
+@query("P6_min_max_skip", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey BETWEEN 100 AND 220 OR o_custkey = 7")
 def _(t):
+    """A range on the sorted key by least and greatest values, and single values of another column by Bloom filters."""
+    rows = t.orders.select("o_orderkey", "o_custkey")
     path = scratch_path(t.spark, "skip")
-    t.orders.select("o_orderkey").repartitionByRange(8, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
-    return t.spark.read.schema("o_orderkey long").parquet(path).filter("o_orderkey BETWEEN 100 AND 220")
+    layout.write_sorted(rows, path, ["o_orderkey"], 8, bloom=["o_custkey"])
+    stored = t.spark.read.schema(rows.schema).parquet(path)
+    ranged = stored.filter("o_orderkey BETWEEN 100 AND 220")
+    return ranged.union(stored.filter("o_custkey = 7 AND NOT o_orderkey BETWEEN 100 AND 220"))

@@ -195,3 +195,32 @@ def _(t):
     """BM25 and the number of different query words that a document holds, fused by reciprocal ranks."""
     index = keywords.InvertedIndex.build(t.documents, "doc_id", "text")
     return keywords.fused(index.bm25(t.benchmark, "item_id", "text", K), index.coverage(t.benchmark, "item_id", "text", K), K)
+
+TABLES, BITS = 8, 6
+SIGNS = f"""b AS (SELECT id, v, list_transform(range(1, {TABLES * BITS + 1}), lambda m: list_sum(list_transform(range(0, len(v)), lambda i: v[i + 1] * (1 - 2 * (bit_count(i & m) % 2)))) > 0) AS bits FROM e),
+  k AS (SELECT id, v, t, array_to_string(list_transform(bits[t * {BITS} + 1 : t * {BITS} + {BITS}], lambda x: x::INT), '') AS key FROM b, (SELECT unnest(range({TABLES})) AS t)),
+  candidates AS (SELECT DISTINCT q.id AS query_id, r.id, list_distance(q.v, r.v) AS distance FROM k q JOIN k r USING (t, key) WHERE q.id % 20 = 0 AND q.id <> r.id),
+  near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM candidates QUALIFY rank <= {K})"""
+
+
+@query("N8_lsh_search", f"WITH {PAIRS}, {SIGNS} {SHOWN}")
+def _(t):
+    """Candidates that share a bucket in one of the hash tables, then the exact distance."""
+    rows, queries = pool(t)
+    return shown(search.re_ranked(search.lsh_candidates(rows, queries, TABLES, BITS), rows, queries, K))
+
+
+@query(
+    "O24_graph_expansion",
+    f"""WITH {NEAR}, s AS (SELECT query_id, rank, doc_id, source FROM near JOIN documents ON doc_id = id WHERE rank <= 3),
+        h AS (SELECT query_id, rank, doc_id, n_name, r_name FROM s JOIN nation ON source = 'src' || n_nationkey JOIN region ON r_regionkey = n_regionkey)
+        SELECT query_id, string_agg(doc_id || ' from ' || trim(n_name) || ' in ' || trim(r_name), '; ' ORDER BY rank) AS context, count(*) AS n FROM h GROUP BY 1""",
+)
+def _(t):
+    """From the nearest documents along the path source, nation, region; the paths of a query make its context."""
+    seeds = search.exact_nearest(*pool(t), 3).select("query_id", "rank", F.col("id").alias("doc_id"))
+    docs = seeds.join(t.documents.select("doc_id", "source"), "doc_id")
+    hops = docs.join(t.nation, F.expr("source = concat('src', n_nationkey)")).join(t.region, F.expr("r_regionkey = n_regionkey"))
+    path = F.concat(F.col("doc_id").cast("string"), F.lit(" from "), F.trim("n_name"), F.lit(" in "), F.trim("r_name")).alias("path")
+    paths = F.array_sort(F.collect_list(F.struct("rank", "path")))  # three at most
+    return hops.select("query_id", "rank", path).groupBy("query_id").agg(F.concat_ws("; ", paths["path"]).alias("context"), F.count("*").alias("n"))
