@@ -50,10 +50,11 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
 class WordEncoder:
     """Encodes whole texts with a tokenizer whose tokens never span white space.
 
-    Such a tokenizer gives a text the ids of its words one after another, so each different word is encoded once
-    for as long as it is remembered, and the words of a block of texts are numbered by Arrow. Words are further cut
-    where marks end them, and A-Z lower-cased for a tokenizer that does so; neither changes the ids.
-    `white_space_apart` says whether a tokenizer is of that kind; texts are encoded whole if it is not.
+    Such a tokenizer gives a text the ids of its words one after another, so each different word is encoded once for as
+    long as it is remembered, and the words of a block of texts are numbered by Arrow. New words are further cut where marks
+    end them, A-Z is lower-cased for a tokenizer that does so, and words of a-z go to the tokenizer's model without its
+    normaliser, where a probe shows that none of this changes the ids. `white_space_apart` says whether a tokenizer is of
+    that kind; texts are encoded whole if it is not.
     """
 
     def __init__(self, path: str, end: int | None):
@@ -65,30 +66,56 @@ class WordEncoder:
         self.special = os.path.commonprefix([x.content for x in self.tokenizer.get_added_tokens_decoder().values()])
         self.folds = self.apart and bool(self.special) and self._ids(["Word", "A"]) == self._ids(["word", "a"])
         self.marks = MARKS if self.apart and self._ids(["ab,.", "a1!"]) == self._ids(["ab", ",.", "a1", "!"]) else ""
+        self.model = self.tokenizer.model if self.apart else None
+        letters = [w for w in (t.removesuffix("</w>") for t in self.tokenizer.get_vocab()) if is_plain(w)]
+        probe = sorted(letters)[:: max(1, len(letters) // 400)]
+        probe += [a + b for a, b in zip(probe, probe[1:])]
+        self.plain = self.apart and self._of_model(probe) == [x.ids for x in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
         self.end = [] if end is None else [end]
         self._forget()
 
     def _ids(self, texts: list[str]) -> list[int]:
         return [i for x in self.tokenizer.encode_batch(texts, add_special_tokens=False) for i in x.ids]
 
+    def _of_model(self, words: list[str]) -> list[list[int]]:
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(w)] for w in words]
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids, self.ends = array("I"), array("q", [0])
-        self.number("", self.end)  # the number 0 ends a document
+        self.number("\n", self.end)  # the number 0 ends a document
+        self.number("", [])
 
-    def number(self, word: str, ids: list[int]) -> None:
+    def number(self, word: str, ids) -> None:
         self.known[word] = len(self.ends) - 1
         self.ids.extend(ids)
         self.ends.append(len(self.ids))
 
     def parts(self, word: str) -> tuple[str, str]:
-        """What a word is looked up by: its front in the form it is remembered in, and the marks that end it."""
+        """The front of a word and the marks that end it."""
         front = word.rstrip(self.marks) if self.marks else word
         tail = word[len(front) :]
         if tail and not (front and front[-1].isalnum()):
             front, tail = word, ""
         return front, tail
 
+    def learn(self, words: list[str]) -> None:
+        """Number words that are not known, and the parts that their ids are made of."""
+        known, ids, ends = self.known, self.ids, self.ends
+        pairs = [self.parts(w) for w in words]
+        missing = [p for p in dict.fromkeys(p for pair in pairs for p in pair) if p not in known]
+        plain = [w for w in missing if is_plain(w)] if self.plain else []
+        for word, found in zip(plain, self._of_model(plain)):
+            self.number(word, found)
+        rest = [w for w in missing if w not in known] if plain else missing
+        for word, x in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.number(word, x.ids)
+        for word, (front, tail) in zip(words, pairs, strict=True):
+            if tail:
+                a, b = known[front], known[tail]
+                self.number(word, ids[ends[a] : ends[a + 1]] + ids[ends[b] : ends[b + 1]])
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, each with the end id, and the number of ids of each text."""
         if not self.apart:
@@ -101,33 +128,30 @@ class WordEncoder:
         coded = words.flatten().dictionary_encode()
         if len(self.known) > REMEMBERED:
             self._forget()
-        # Two parts for each word, and the end after the last word of a text; an empty part has no ids.
-        known, listed = self.known, coded.dictionary.to_pylist()
-        found = list(map(known.get, listed))
+        listed = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, listed))
         strange = [i for i, n in enumerate(found) if n is None]
-        pairs = [self.parts(listed[i]) for i in strange]
-        missing = [p for p in dict.fromkeys(p for pair in pairs for p in pair) if p not in known]
-        for word, x in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            self.number(word, x.ids)
-        for i, (front, _) in zip(strange, pairs, strict=True):
-            found[i] = known[front]
-        numbers = np.full((len(found), 2), -1, "i8")
-        numbers[:, 0] = found
-        numbers[strange, 1] = [known[tail] for _, tail in pairs]
-        numbers[numbers == 0] = -1
-        ends, flat = np.frombuffer(self.ends, "i8"), np.frombuffer(self.ids, "u4")
-        parts = numbers[coded.indices.to_numpy(zero_copy_only=False)].ravel()
-        parts = np.insert(parts, 2 * cuts[1:], 0)
-        starts = ends.astype("i4" if len(flat) < 2**31 else "i8")  # what is remembered is small
-        sizes = np.append(np.diff(starts), 0)[parts]
+        if strange:
+            self.learn([listed[i] for i in strange])
+            for i in strange:
+                found[i] = self.known[listed[i]]
+        flat = np.frombuffer(self.ids, "u4") if self.ids else np.zeros(0, "u4")
+        starts = np.frombuffer(self.ends, "i8").astype("i4")  # what is remembered is small
+        parts = np.array(found, "i4")[coded.indices.to_numpy(zero_copy_only=False)]
+        parts = np.insert(parts, cuts[1:], 0)
+        sizes = np.diff(starts)[parts]
         last = np.cumsum(sizes)
         total = int(last[-1]) if len(last) else 0
         at = np.repeat((starts[parts] - (last - sizes)).astype("i4"), sizes) + np.arange(total, dtype="i4")
-        text_ends = 2 * cuts[1:] + np.arange(len(texts))
+        text_ends = cuts[1:] + np.arange(len(texts))
         counts = np.diff(np.concatenate(([0], last[text_ends])))
         return flat[at], counts
 
 
+def is_plain(word: str) -> bool:
+    return word.isascii() and word.isalpha() and word.islower()
+
+
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array]]:
     """Ids (NO_ID for null) and texts in pieces of about BLOCK bytes, or one text that is longer."""
     for batch in batches:
@@ -181,7 +205,9 @@ def write_token_files(
         vocabulary = max(Tokenizer.from_file(tokenizer).get_vocab_size(), (end or 0) + 1)
     kind = storage(vocabulary)
     rows = docs.select(col(doc_id).cast("long").alias("doc_id"), whole_text(col(text)).alias("text"))
-    placed = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # By the hash of the text too, so that null or equal ids are divided.
+    rows = rows.withColumn("spread", F.xxhash64("text"))
+    placed = rows.repartitionByRange("doc_id", "spread").sortWithinPartitions("doc_id", "spread").drop("spread")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer, end)
