@@ -52,7 +52,19 @@ NAMES = frozenset(
     "overlay newsletter subscribe subscription social share sharing related recommended recommendations comment comments "
     "disqus replies widget toolbar pagination pager login signup search skip".split()
 )
-#: They are menus if nearly all of their text is in three links or more.
+#: Words that say no more about an element than that it holds something.
+GENERIC = frozenset(
+    "the box block bar wrap wrapper container section list area panel link links button buttons form slot unit post posts page "
+    "site article articles story stories item items content inner outer main left right top bottom head body group row col "
+    "column icon icons holder zone region module js global primary secondary".split()
+)
+#: Names of NAMES that say it of a longer name too that begins or ends with them, outside an article.
+STRONG = frozenset(
+    "advert adverts advertisement advertising adsense sponsored sidebar menu nav navbar navigation breadcrumb breadcrumbs "
+    "footer masthead cookie cookies consent gdpr popup modal newsletter pagination disqus comments".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+#: Outside an article they are menus if nearly all of their text is in three links or more.
 LISTS = frozenset("ul ol dl table div section p".split())
 HEADERS = frozenset(("header", "topbar"))
 HOLDERS = frozenset(("article", "main"))
@@ -67,11 +79,11 @@ _NAMED = re.compile(r"\b(?:class|id|role|hidden|aria-hidden)\b", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "noise", "holds", "chars", "tags", "link_chars", "link_tags", "density", "sums")
+    __slots__ = ("tag", "parent", "parts", "noise", "named", "inside", "holds", "chars", "tags", "link_chars", "link_tags", "density", "sums")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.parts = tag, parent, []
-        self.noise = self.holds = False
+        self.noise = self.named = self.inside = self.holds = False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sums = 0.0
 
@@ -91,9 +103,11 @@ def is_noise(tag: str, attributes: str, in_article: bool) -> bool:
         if name in ("class", "id"):
             for one in value.split():
                 words = re.findall(r"[a-z]+", one)
-                if words and words[0] not in ("has", "with", "no", "without") and (
-                    not NAMES.isdisjoint(words) or (not in_article and not HEADERS.isdisjoint(words))
-                ):
+                if not words or words[0] in ("has", "with", "no", "without"):
+                    continue
+                listed = any(w in NAMES for w in words) and all(w in NAMES or w in GENERIC or len(w) == 1 for w in words)
+                outside = not in_article and (words[0] in STRONG or words[-1] in STRONG or not HEADERS.isdisjoint(words))
+                if listed or outside:
                     return True
     return False
 
@@ -131,7 +145,10 @@ def parse(html: str) -> list[Node]:
         holder = open_
         while holder is not None and holder.tag not in HOLDERS:
             holder = holder.parent
-        node.noise = tag in DROPPED or (tag not in KEPT and is_noise(tag, found[3] or found[6], holder is not None))
+        node.inside = holder is not None
+        node.named = tag not in ("html", "body") and is_noise(tag, found[3] or found[6], node.inside)
+        # An article may bear any name, but not where it is a part of another one, like a comment.
+        node.noise = tag in DROPPED or (node.named and (tag not in HOLDERS or (tag == "article" and in_article(open_))))
         open_.parts.append(node)
         nodes.append(node)
         if tag in RAW:
@@ -141,6 +158,12 @@ def parse(html: str) -> list[Node]:
             open_ = node
 
 
+def in_article(node: Node | None) -> bool:
+    while node is not None and node.tag != "article":
+        node = node.parent
+    return node is not None
+
+
 def _close(node: Node, tags: set[str], barrier) -> Node:
     """The element that stays open after the nearest of `tags` has ended."""
     last, seen = None, node
@@ -154,10 +177,10 @@ def _close(node: Node, tags: set[str], barrier) -> Node:
 def measure(nodes: list[Node]) -> None:
     """Counts, densities and density sums. What surrounds an article counts for nothing."""
     for node in reversed(nodes):  # what holds the article is kept whatever its name
-        if node.parent is not None and (node.holds or node.tag in HOLDERS):
+        if node.parent is not None and (node.holds or (node.tag in HOLDERS and not node.noise)):
             node.parent.holds = True
     for node in nodes:
-        if node.holds and node.tag not in ("nav", "footer", "aside"):
+        if node.holds and node.tag not in ("nav", "footer", "aside") and not (node.tag == "article" and node.noise):
             node.noise = False
         if node.parent is not None and node.parent.noise:
             node.noise = True
@@ -167,7 +190,7 @@ def measure(nodes: list[Node]) -> None:
         node.chars += sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.link_tags + 1
-        node.noise = node.tag in LISTS and not node.holds and node.link_tags > 2 and node.link_chars >= 0.9 * node.chars
+        node.noise = node.tag in LISTS and not node.holds and not node.inside and node.link_tags > 2 and node.link_chars >= 0.9 * node.chars
         if node.noise:
             continue
         up = node.parent
@@ -190,6 +213,11 @@ def measure(nodes: list[Node]) -> None:
             node.parent.sums += node.density
 
 
+def goes_along(node: Node) -> bool:
+    """Whether an element beside an article is a further part of it: another article, or a heading of what both are in."""
+    return (node.tag == "article" and not node.named) or (node.tag in HEADINGS and node.inside)
+
+
 def content(nodes: list[Node]) -> list[Node]:
     """The subtrees of the article, in page order."""
     inside = [n for n in nodes if not n.noise]
@@ -206,7 +234,7 @@ def content(nodes: list[Node]) -> list[Node]:
             holder = node
         node = node.parent
     if holder is not None:
-        return [holder]
+        return [n for n in inside if n is holder or (n.parent is holder.parent and n.chars and goes_along(n))]
     if not path:
         return [best]
     threshold = min(n.density for n in path)
@@ -255,10 +283,11 @@ def main_text(html: str | None) -> str:
 def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, text, n_chars (code points) for every page.
 
-    The article is the element of largest density sum, widened to the `article` or `main` that it is in; without
-    such, to its container below the body, with the containers that are at least as dense as the least dense
-    element on the path from the body to it. Lists of links, menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out by
-    element, role and name. Character references are decoded, white space in a block becomes one space,
+    The article is the element of largest density sum, widened to the `article` or `main` that it is in, with the other
+    articles beside it and the headings of a `main` around them; without such, to its container below the body, with the containers that are at least as dense as the least dense
+    element on the path from the body to it. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+    comments are left out by element, role and name, lists of links outside an article too. A name counts if all its words
+    are listed or generic; `share-price` and `related-work` are no such names. Character references are decoded, white space in a block becomes one space,
     blocks are joined by a line end.
 
     Null and empty pages, and those without text, have an empty text. Cut-off and broken markup is read as far
