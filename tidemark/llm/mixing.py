@@ -50,7 +50,7 @@ def repetition_rates(
     had = docs.select(group.alias("grp"), F.length(whole_text(col(text))).cast("long").alias("chars"))
     had = had.groupBy("grp").agg(F.sum("chars").alias("chars"))
     shares = docs.sparkSession.createDataFrame(
-        [(s, w / total) for s, w in weights.items()] + [("", rest / total)], "grp string, share double"
+        [(f"={s}", w / total) for s, w in weights.items()] + [("", rest / total)], "grp string, share double"
     )
     # The window sees no more rows than there are weights.
     target = F.lit(size).cast("double") if size is not None else F.sum("chars").over(Window.partitionBy(F.lit(1))).cast("double")
@@ -63,10 +63,9 @@ def repetition_rates(
 
 
 def mixing_group(weights: dict[str, float], source: str) -> Column:
-    """The source where it has a weight of its own, else ''. Null and unknown sources are in ''."""
+    """'=' and the source where it has a weight of its own, which '' may have too, else ''. Null sources are in ''."""
     name = col(source).cast("string")
-    listed = [s for s in weights if s]
-    return F.when(name.isin(listed), name).otherwise(F.lit("")) if listed else F.lit("")
+    return F.when(name.isin(list(weights)), F.concat(F.lit("="), name)).otherwise(F.lit("")) if weights else F.lit("")
 
 
 def mix_sources(
@@ -88,7 +87,7 @@ def mix_sources(
     `doc_id`: how many steps of the function lie at or below it. It does not depend on how the table
     is partitioned, so a task that is run again draws the same. `size` is the target in characters,
     that of `docs` by default. Sources without a weight, and null ones, share `rest`; a source with
-    weight 0 goes.
+    weight 0 goes. The share of a weighted source without rows or characters stays unused: the output is smaller by it.
 
     Each copy is dealt to a partition and sorted there by a hash of seed, id and copy: the order of the
     output is a random one. A hot source is spread like any other, as the key differs from copy to copy.
