@@ -67,3 +67,14 @@ def test_mixture_of_large_rates_odd_rows_and_nothing(spark):
     assert mix_sources(frame(spark, []), {"s": 1.0}).count() == 0
     assert mix_sources(frame(spark, [(1, None), (2, "")]), {"s": 1.0}).count() == 0
     assert mix_sources(frame(spark, [(1, "a")]), {"s": 0.0}, rest=1.0).count() == 0
+
+
+def test_the_empty_source_may_have_a_weight_of_its_own(spark):
+    docs = [(i, "x" * 100) for i in range(900)]
+    base = frame(spark, docs[:300], "").union(frame(spark, docs[300:600], "big")).union(frame(spark, docs[600:], None))
+    got = mix_sources(base, {"": 0.5, "big": 0.25}, rest=0.25, seed=2, size=90_000).collect()
+    assert len({(r.doc_id, r.copy) for r in got}) == len(got)
+    chars = Counter()
+    for r in got:
+        chars[r.source] += len(r.text)
+    assert abs(chars[""] - 45_000) < 6_000 and abs(chars["big"] - 22_500) < 4_500 and abs(chars[None] - 22_500) < 4_500

@@ -6,8 +6,8 @@ from samples import frame, odd, words
 
 from tidemark.llm import queries
 from tidemark.llm.html_text import extract_text, main_text
-from tidemark.llm.license_texts import APACHE_HEADER, BSD_DISCLAIMER, BSD_TERMS, MIT
-from tidemark.llm.licenses import find_licenses
+from tidemark.llm.license_texts import APACHE_HEADER, BSD_DISCLAIMER, BSD_TERMS, KNOWN, MIT, PUBLISHED, SPELLINGS
+from tidemark.llm.licenses import COPYRIGHT_LINE, PARAGRAPH_END, RANKED, SENTENCE_END, find_licenses
 from tidemark.llm.substring_dedup import chunk_rows, drop_repeats, repeated_spans
 
 ROOT = "/root/testdata/sf0.01"
@@ -40,6 +40,29 @@ def test_article_and_main_win_and_their_own_headers_stay():
     assert main_text(page) == f"Head\n{LONG * 12}\nTiny."
 
 
+def test_all_of_an_article_is_kept():
+    links = "".join(f"<li><a href=r{k}>Reference number {k}</a></li>" for k in range(6))
+    page = f"""<body><header><h1>Site</h1></header><main><h1>Both</h1><article><p>{LONG * 3}</p><div class="share-price"><p>Up 3.</p></div>
+      <section id="related-work"><p>Others.</p></section><div class="search-results"><p>Found 7.</p></div><ol class="references">{links}</ol>
+      <div class="related-posts"><p>More to read</p></div><div class="share-buttons"><p>Share it</p></div>
+      <article class="comment"><p>{LONG} A reader.</p></article></article>
+      <article><p>{LONG} Second.</p></article><article class="related"><p>{LONG}</p></article>
+      <section class="comments"><p>{LONG}</p></section></main><div class="cookie-law-info"><p>{LONG}</p></div></body>"""
+    references = "\n".join(f"Reference number {k}" for k in range(6))
+    assert main_text(page) == f"Both\n{(LONG * 3)}\nUp 3.\nOthers.\nFound 7.\n{references}\n{LONG} Second."
+
+
+def test_names_outside_an_article():
+    page = f"""<body><div class="site-nav"><p>{LONG}</p></div><div class="wrap"><div class="post-content"><p>{LONG * 2}</p><div class="share-price"><p>{LONG}</p></div></div></div>
+      <div class="ad-300x250"><p>{LONG}</p></div><ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul></body>"""
+    assert main_text(page) == f"{LONG * 2}\n{LONG}"
+
+
+def test_pages_with_clashing_columns(spark):
+    table = spark.createDataFrame([(1, "u", "<p>x</p>", 5, "y", "z")], "page_id long, url string, html string, n_chars long, c0 string, `a.b` string")
+    assert [tuple(r) for r in extract_text(table).collect()] == [(1, "u", "x", 1)]
+
+
 def test_odd_pages(spark):
     pages = [
         (1, None, None), (2, "u", ""), (3, "u", "plain text"), (4, "u", "<p>cut off <b>here &am"), (5, "u", "<<<>>><p>a<b"),
@@ -75,6 +98,51 @@ def test_licences_by_whole_text_paragraph_line_and_sentence(spark):
     assert find_licenses(frame(spark, docs), none).count() == 0
 
 
+def plain_licenses(text, known):
+    """Scope by licence, each passage brought into canonical form by itself."""
+
+    def canonical(t):
+        t = re.sub(COPYRIGHT_LINE, "", t).lower()
+        for found, read in SPELLINGS:
+            t = t.replace(found, read)
+        return " ".join(re.findall(r"[^\W_]+", t))
+
+    parts = [p for p in map(canonical, re.split(PARAGRAPH_END, text)) if p]
+    runs = {" ".join(parts[a:b]) for a in range(len(parts)) for b in range(a + 2, len(parts) + 1)}
+    kinds = [
+        {canonical(text)}, runs, set(parts), set(map(canonical, text.split("\n"))),
+        set(map(canonical, re.sub(SENTENCE_END, r"\1\n", text).split("\n"))),
+    ]
+    out = {}
+    for name, whole in known:
+        paragraphs = [p for p in map(canonical, re.split(PARAGRAPH_END, whole)) if p]
+        form = " ".join(paragraphs)
+        for rank, kind in enumerate(kinds):
+            if form and form in kind and (rank != 1 or len(paragraphs) > 1):
+                out[name] = min(out.get(name, rank), rank)
+    return {name: RANKED[rank] for name, rank in out.items()}
+
+
+def test_licences_agree_with_a_search_passage_by_passage(spark):
+    rng = random.Random(77)
+    known = [*KNOWN, *(p for p in PUBLISHED if len(p[1]) < 3000)]
+    pieces = [t for _, t in known] + ["Copyright (c) 2020 A. Released under the MIT License. More.", "© 2021 X", "Plain words. And more!", "", "  ", "\r", "--- per cent", "(c) 1999 B\nfavour"]
+    docs = []
+    for k in range(150):
+        ends = ["\n", "\n\n", ". ", " ", "\n \t\r\n\n"]
+        docs.append((k, "".join(x for _ in range(rng.randrange(1, 7)) for x in (rng.choice(pieces), rng.choice(ends)))))
+    table = spark.createDataFrame(known, "license string, text string")
+    got = {(r.doc_id, r.license, r.scope) for r in find_licenses(frame(spark, docs), table).collect()}
+    want = {(i, name, scope) for i, t in docs for name, scope in plain_licenses(t, known).items()}
+    assert got == want and len({s for _, _, s in want}) == 5
+
+
+def test_many_licence_paragraphs_in_one_text(spark):
+    opening = MIT.split("\n\n")[0]
+    docs = [(1, "\n\n".join([opening] * 20_000)), (2, "\n\n".join([*[opening] * 500, MIT, *[opening] * 500]))]
+    assert {tuple(r) for r in find_licenses(frame(spark, docs)).collect()} == {(2, "MIT", "paragraphs")}
+
+
 def shared_case():
     rng = random.Random(12)
     docs, want = [], set()
