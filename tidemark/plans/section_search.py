@@ -12,7 +12,7 @@ from tidemark.plans.registry import query
 
 K = 10
 #: Share of the inverted lists that an approximate search looks into.
-PROBED = 0.6
+PROBED = 0.7
 
 
 def pool(t, width: int | None = None) -> tuple[DataFrame, DataFrame]:
