@@ -21,6 +21,9 @@ from tidemark.llm.common import col, fresh, whole_text, written
 SPAN = 16
 #: A cut is the least hash among so many on either side, so chunks have 2 * RADIUS + 1 bytes on average.
 RADIUS = 16
+#: In text that repeats itself no hash is less than those before it. Where a chunk would pass so many bytes, it ends at the
+#: first hash beyond them that none beside it is below, so each piece begins at the same place of the repeated part.
+LONGEST = 512
 #: Words of a reported run of repeated chunks. The cuts nearest to the ends of a shared passage lie some 12 words
 #: inside it, so passages of 50 words and more are found.
 MIN_WORDS = 30
@@ -57,9 +60,32 @@ def cuts(data: np.ndarray) -> np.ndarray:
     ends = np.flatnonzero((h < least_before(h)) & (h <= least_before(h[::-1])[::-1])) + 1
     # Near the ends of the text a cut has too few neighbours to be the same elsewhere.
     ends = ends[(ends > RADIUS + SPAN) & (ends < n - RADIUS)]
+    if (np.diff(ends, prepend=0, append=n) > LONGEST).any():
+        ends = np.sort(np.append(ends, periodic_cuts(h, ends)))
     return np.append(ends, n)
 
 
+def periodic_cuts(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Further ends inside chunks of more than LONGEST bytes, at hashes that none of the RADIUS on either side is below."""
+    n = len(h)
+    level = np.flatnonzero((h <= least_before(h)) & (h <= least_before(h[::-1])[::-1])) + 1
+    level = level[(level > RADIUS + SPAN) & (level < n - RADIUS)]
+    more = []
+    bounds = np.concatenate(([0], ends, [n]))
+    for i in np.flatnonzero(np.diff(bounds) > LONGEST).tolist():
+        at, last = int(bounds[i]), int(bounds[i + 1])
+        own = level[np.searchsorted(level, at, "right") : np.searchsorted(level, last)]
+        # The repeated part begins where the first level hash is; pieces are counted from there.
+        at = int(own[0]) if len(own) else last
+        while last - at > LONGEST:
+            more.append(at)
+            k = int(np.searchsorted(own, at + LONGEST // 2))
+            at = int(own[k]) if k < len(own) else last
+        if len(own) and at < last:
+            more.append(at)
+    return np.array(more, "i8")
+
+
 def chunk_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """A row for each chunk of each text: row, doc_id, start and size in bytes, n_words that begin in it, digest (hi, lo)."""
     identity = F.xxhash64(F.coalesce(col(doc_id).cast("string"), F.lit("-")), whole_text(col(text)))
@@ -115,8 +141,9 @@ def repeated_spans(
     A chunk is repeated if two documents hold it; equal rows (same id and text) are one document. Chunks are
     counted over all documents by an aggregate with map-side combine, and occurrences meet only the digests that
     repeat, in a join that the adaptive planner splits where a chunk is frequent. Null and empty texts have no
-    chunks; null ids are reported as null and come after all others. An empty table gives no rows; extra
-    columns are ignored.
+    chunks; null ids are reported as null and come after all others. Of ties, copies of one text with
+    different ids, the least id holds first. Texts of any length are cut whole, also where they repeat themselves. An
+    empty table gives no rows; extra columns are ignored.
     """
     chunks = chunk_rows(docs, doc_id, text)
     found = chunks.groupBy("hi", "lo").agg(

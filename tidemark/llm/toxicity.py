@@ -33,8 +33,9 @@ ROUNDS = 3
 SUSPECT = 1.5
 #: Standard errors that the odds of a landmark are lowered by.
 CHANCE = 1.4
-#: The words of clean texts that the machine is fitted on: the most frequent, and then those it gets wrong.
-CLEAN_WORDS = 8_000
+#: The words of clean texts that the machine is fitted on: the most frequent, and after each round those it gets wrong most
+#: often. None takes all of them.
+CLEAN_WORDS, WRONG_WORDS = 8_000, 4_000
 BITS = 20
 DECAY = 0.6
 #: Offsets of the second to fourth character of a subsequence: four characters within six.
@@ -173,7 +174,9 @@ def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def train(texts: list[str | None], labels: list[int]) -> Machine:
+def train(
+    texts: list[str | None], labels: list[int], clean_words: int | None = CLEAN_WORDS, wrong_words: int | None = WRONG_WORDS
+) -> Machine:
     """A machine from labelled texts; without both labels it gives every text the share of label 1 (0.5 if none)."""
     y = np.array(labels, float)
     coded = [characters(t) for t in texts]
@@ -227,7 +230,7 @@ def train(texts: list[str | None], labels: list[int]) -> Machine:
         vector[buckets] = table[:-1] @ (project @ w[:-1])
         return Machine(vector, float(w[-1]), 1.0, 0.0)
 
-    negatives = [w for w in common if odds.get(w, -9) < SUSPECT / 2][:CLEAN_WORDS]
+    negatives = [w for w in common if odds.get(w, -9) < SUSPECT / 2][:clean_words]
     toxic = [i for i, label in enumerate(labels) if label]
     chosen = {i: max(held[i], key=lambda w: (sure.get(w, -9), w)) for i in toxic if held[i]}
     chosen = {i: w for i, w in chosen.items() if sure[w] > SUSPECT}
@@ -254,7 +257,7 @@ def train(texts: list[str | None], labels: list[int]) -> Machine:
                 chosen[i] = word
             elif not labels[i] and found[top] > -0.5:
                 wrong[word] += 1
-        negatives = list(dict.fromkeys(negatives + [w for w, _ in wrong.most_common(4_000)]))
+        negatives = list(dict.fromkeys(negatives + [w for w, _ in wrong.most_common(wrong_words)]))
         if not chosen:
             return flat
     z = np.array([float(b.max(initial=model.bias)) for b in (model.words(c) for c in coded)])
@@ -263,7 +266,15 @@ def train(texts: list[str | None], labels: list[int]) -> Machine:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, fold: Column, label: str, doc_id: str, text: str, most: int = MOST_LABELLED
+    docs: DataFrame,
+    labels: DataFrame,
+    fold: Column,
+    label: str,
+    doc_id: str,
+    text: str,
+    most: int = MOST_LABELLED,
+    clean_words: int | None = CLEAN_WORDS,
+    wrong_words: int | None = WRONG_WORDS,
 ) -> bytes:
     """A packed machine (4 MB) learnt from at most `most` labelled documents outside the fold, in one task."""
     chosen = training_rows(labels, label, fold, most, doc_id)
@@ -275,7 +286,7 @@ def fit(
         for b in batches:
             texts += b.column("text").to_pylist()
             marks += b.column("label").to_pylist()
-        yield pa.RecordBatch.from_pydict({"model": [train(texts, marks).pack()]})
+        yield pa.RecordBatch.from_pydict({"model": [train(texts, marks, clean_words, wrong_words).pack()]})
 
     one = rows.repartition(1).sortWithinPartitions("turn", "text", "label")
     fitted = one.mapInArrow(run, "model binary").collect()
@@ -292,15 +303,19 @@ def score_toxicity(
     doc_id: str = "doc_id",
     text: str = "text",
     most: int = MOST_LABELLED,
+    clean_words: int | None = CLEAN_WORDS,
+    wrong_words: int | None = WRONG_WORDS,
 ) -> DataFrame:
     """doc_id, held_out, score, predicted for every document.
 
     Labels are learnt only outside the fold `held`. The score sees the whole text and nothing else. Null and
     empty texts, and texts without a letter or digit, have no word: their score is that of the intercept.
     Without labels of both kinds every score is the share of label 1 among them, 0.5 if there is none.
-    Repeated rows have equal scores. An empty table gives no rows. Extra columns are ignored.
+    Repeated rows, and equal texts, have equal scores. Texts of any length are read whole, block by block. `clean_words` and
+    `wrong_words` bound the words that the machine is fitted on; None fits it on all. An empty table gives no rows. Extra
+    columns are ignored.
     """
-    packed = fit(docs, labels, fold_of(F.col("doc_id"), folds, held), label, doc_id, text, most)
+    packed = fit(docs, labels, fold_of(F.col("doc_id"), folds, held), label, doc_id, text, most, clean_words, wrong_words)
     rows = docs.select(
         col(doc_id).alias("doc_id"), fold_of(col(doc_id), folds, held).alias("held_out"), col(text).cast("string").alias("text")
     )
