@@ -72,7 +72,7 @@ class WordEncoder:
         probe += [a + b for a, b in zip(probe, probe[1:])]
         self.plain = self.apart and self._of_model(probe) == [x.ids for x in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
         self.end = [] if end is None else [end]
-        self._forget()
+        self.forget()
 
     def _ids(self, texts: list[str]) -> list[int]:
         return [i for x in self.tokenizer.encode_batch(texts, add_special_tokens=False) for i in x.ids]
@@ -81,7 +81,8 @@ class WordEncoder:
         tokenize = self.model.tokenize
         return [[t.id for t in tokenize(w)] for w in words]
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop what is remembered; a worker that waits for its next task holds the tokenizer alone."""
         self.known: dict[str, int] = {}
         self.ids, self.ends = array("I"), array("q", [0])
         self.number("\n", self.end)  # the number 0 ends a document
@@ -127,7 +128,7 @@ class WordEncoder:
         cuts = words.offsets.to_numpy().astype("i8") - words.offsets[0].as_py()
         coded = words.flatten().dictionary_encode()
         if len(self.known) > REMEMBERED:
-            self._forget()
+            self.forget()
         listed = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.known.get, listed))
         strange = [i for i, n in enumerate(found) if n is None]
@@ -167,7 +168,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.A
 
 @lru_cache(maxsize=2)
 def worker_encoder(path: str, end: int | None) -> WordEncoder:
-    """One encoder for all tasks of a worker, with what it remembers."""
+    """One encoder for all tasks of a worker."""
     return WordEncoder(path, end)
 
 
@@ -215,16 +216,19 @@ def write_token_files(
         name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         docs = tokens = 0
         ids_out = lens_out = None
-        for numbers, texts in blocks(batches):
-            if ids_out is None:
-                store.create_dir(root, recursive=True)
-                ids_out, lens_out = (store.open_output_stream(f"{root}/{name}.{x}") for x in ("ids", "len"))
-            ids, counts = encoder.encode(texts)
-            if vocabulary <= int(ids.max(initial=0)):
-                raise ValueError(f"id {ids.max()} is outside a vocabulary of {vocabulary}")
-            ids_out.write(ids.astype(kind).tobytes())
-            lens_out.write(np.column_stack((numbers, counts)).astype("<i8").tobytes())
-            docs, tokens = docs + len(counts), tokens + len(ids)
+        try:
+            for numbers, texts in blocks(batches):
+                if ids_out is None:
+                    store.create_dir(root, recursive=True)
+                    ids_out, lens_out = (store.open_output_stream(f"{root}/{name}.{x}") for x in ("ids", "len"))
+                ids, counts = encoder.encode(texts)
+                if vocabulary <= int(ids.max(initial=0)):
+                    raise ValueError(f"id {ids.max()} is outside a vocabulary of {vocabulary}")
+                ids_out.write(ids.astype(kind).tobytes())
+                lens_out.write(np.column_stack((numbers, counts)).astype("<i8").tobytes())
+                docs, tokens = docs + len(counts), tokens + len(ids)
+        finally:
+            encoder.forget()
         if ids_out is not None:
             ids_out.close()
             lens_out.close()
