@@ -440,14 +440,12 @@ def _(t):
 
 @query(
     "I37_churn_risk",
-    """WITH a AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'purchase')
-       SELECT user_id, max(gap) AS gap FROM (SELECT user_id, CAST(day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS INT) AS gap FROM a) GROUP BY 1 HAVING max(gap) > 7""",
+    f"WITH {ACTIVE} SELECT user_id, max(gap) AS gap FROM (SELECT user_id, CAST(day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS INT) AS gap FROM a) GROUP BY 1 HAVING max(gap) > 7",
 )
 def _(t):
-    """Users with more than seven days between two purchases."""
-    days = t.events.filter("event_type = 'purchase'").select("user_id", F.to_date("ts").alias("day")).distinct()
+    """Users with more than seven days between two visits; every event is a visit."""
     gap = F.datediff("day", F.lag("day").over(Window.partitionBy("user_id").orderBy("day"))).alias("gap")
-    return days.select("user_id", gap).groupBy("user_id").agg(F.max("gap").alias("gap")).filter("gap > 7")
+    return active(t).select("user_id", gap).groupBy("user_id").agg(F.max("gap").alias("gap")).filter("gap > 7")
 
 
 @query(
