@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from tidemark.operators import keywords, search
@@ -117,3 +118,28 @@ def test_fusion_adds_reciprocal_ranks(spark):
     two = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id long, id long, rank int")
     got = [(r.id, round(r.score, 6)) for r in keywords.fused(one, two, 5).orderBy("rank").collect()]
     assert got == [(11, round(1 / 62 + 1 / 61, 6)), (10, round(1 / 61, 6)), (12, round(1 / 62, 6))]
+
+
+def test_largest_products_look_into_few_boxes_and_equal_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k + 5, [float(round(x, 2)) for x in rng.normal(size=6)]) for k in range(1200)] + [(3, [0.25] * 6), (9000, [0.25] * 6), (9001, [0.0] * 6)]
+    asked = [(k, [float(round(x, 1)) for x in rng.normal(size=6)]) for k in range(40)] + [(90, [0.0] * 6), (91, None)]
+    kind = "id long, v array<double>"
+    frames = [search.vectors(spark.createDataFrame(r, kind), "id", "v") for r in (rows, asked)]
+    want = {}
+    for name, q in asked:
+        if q:
+            exact = sorted(((float(np.dot(q, v)), i) for i, v in rows), key=lambda p: (-round(p[0], 9), p[1]))
+            want[name] = [i for _, i in exact[:4]]
+    for sizes in ({}, {"block_rows": 200, "block_queries": 15}):
+        got = {}
+        for r in search.largest_products(*frames, 4, **sizes).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.id)
+        assert got == want
+    few = search.largest_products(frames[0].filter("id < 7"), frames[1], 4)
+    assert few.count() == 3 * len(want) and search.largest_products(frames[0].limit(0), frames[1], 4).count() == 0
+
+
+def test_recommendations_need_no_product_of_all_pairs(spark):
+    plan = catalog.queries()["J37_als_recommender"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
