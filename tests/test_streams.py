@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,87 @@ def test_the_last_kinds_and_counts(spark):
     assert sorted(run(spark, rows, state.Profile(60 * DAY, 2))) == sorted(want)
 
 
+class Calls:
+    """A state of one key in memory that counts its calls."""
+
+    def __init__(self):
+        self.held, self.calls = None, 0
+
+    def exists(self):
+        self.calls += 1
+        return self.held is not None
+
+    def get(self):
+        self.calls += 1
+        return iter(self.held or []) if not isinstance(self.held, tuple) else self.held
+
+    def put(self, value):
+        self.calls += 1
+        self.held = value
+
+    update = put
+
+    def appendList(self, value):
+        self.put([*(self.held or []), *value])
+
+    def clear(self):
+        self.put(None)
+
+    def iterator(self):
+        self.calls += 1
+        return iter((self.held or {}).items())
+
+    def updateValue(self, key, value):
+        self.put((self.held or {}) | {key: value})
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in (self.held or {})
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held[key]
+
+    def registerTimer(self, at):
+        self.calls += 1
+
+
+@pytest.mark.parametrize("processor", [state.Counter(DAY), state.Profile(DAY, 2)])
+def test_calls_of_the_store_do_not_grow_with_the_rows_of_a_key(processor):
+    class Time:
+        mark = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.mark
+
+    def calls(n):
+        states = []
+
+        class Handle(Calls):
+            def getListState(self, *_):
+                states.append(Calls())
+                return states[-1]
+
+            getValueState = getMapState = getListState
+
+        states.append(Handle())
+        processor.init(states[0])
+        time, out = Time(), []
+        for begin in (0, n):  # in two batches, the second after a pause that ends the first
+            rows = [SimpleNamespace(at=(k + (begin and 3 * 86_400)) * 1_000_000, event_id=k, kind="ab"[k % 2], value=1.0) for k in range(begin, begin + n)]
+            out += processor.handleInputRows((7,), rows, time)
+            time.mark = rows[-1].at // 1000 + 1
+            out += processor.handleExpiredTimer((7,), time, None)
+        time.mark += 2 * DAY
+        out += processor.handleExpiredTimer((7,), time, None)
+        assert all(not s.held for s in states)
+        return sum(s.calls for s in states), [tuple(r)[1:] for r in out]
+
+    few, many = calls(10), calls(200)
+    assert few[0] == many[0] <= 60
+    assert few[1] in ([(10,)] * 2, [("a,b", "a=5,b=5")] * 2) and many[1] in ([(200,)] * 2, [("a,b", "a=100,b=100")] * 2)
+
+
 def test_streams_of_nothing(spark):
     assert run(spark, [], state.Counter(DAY)) == []
     assert run(spark, [(1, None, None, None, None)], state.CountTrigger(DAY, 1)) == []

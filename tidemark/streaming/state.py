@@ -43,6 +43,12 @@ class InOrder(StatefulProcessor):
     def clear(self) -> None:
         raise NotImplementedError
 
+    def load(self) -> None:
+        """Bring the state of a key to memory before its rows are handled; every call of the store costs as much as many rows."""
+
+    def store(self) -> None:
+        """Keep what `step` and `clear` made of it, once for all these rows."""
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs()
         fresh = [(r.at, r.event_id, r.kind, r.value) for r in rows]
@@ -57,6 +63,7 @@ class InOrder(StatefulProcessor):
         due = [r for r in held if r[0] // 1000 < mark]
         rest = held[len(due) :]
         last = self.last.get()[0] if self.last.exists() else None
+        self.load()
         for r in due:
             if last is not None and r[0] - last > 1000 * self.idle:
                 yield from self.finish(key)
@@ -78,6 +85,7 @@ class InOrder(StatefulProcessor):
                 self.last.clear()
             else:
                 self.handle.registerTimer(max(ends, mark) + 1)
+        self.store()
 
     def close(self) -> None:
         pass
@@ -91,16 +99,25 @@ class Counter(InOrder):
     def open(self, handle):
         self.n = handle.getValueState("n", "n long")
 
+    def load(self):
+        self.count = self.n.get()[0] if self.n.exists() else 0
+
     def step(self, key, row):
-        self.n.update(((self.n.get()[0] if self.n.exists() else 0) + 1,))
+        self.count += 1
         return iter(())
 
     def finish(self, key):
-        if self.n.exists():
-            yield Row(user_id=key[0], n=self.n.get()[0])
+        if self.count:
+            yield Row(user_id=key[0], n=self.count)
 
     def clear(self):
-        self.n.clear()
+        self.count = 0
+
+    def store(self):
+        if self.count:
+            self.n.update((self.count,))
+        else:
+            self.n.clear()
 
 
 class Profile(InOrder):
@@ -116,21 +133,34 @@ class Profile(InOrder):
         self.recent = handle.getListState("recent", "kind string")
         self.counts = handle.getMapState("counts", "kind string", "n long")
 
+    def load(self):
+        self.kinds = [r[0] for r in self.recent.get()]
+        self.numbers = {k[0]: v[0] for k, v in self.counts.iterator()}
+        self.known, self.ended = set(self.numbers), False
+
     def step(self, key, row):
-        self.recent.put([*[(r[0],) for r in self.recent.get()], (row.kind,)][-self.keep :])
-        n = self.counts.getValue((row.kind,))[0] if self.counts.containsKey((row.kind,)) else 0
-        self.counts.updateValue((row.kind,), (n + 1,))
+        self.kinds = [*self.kinds, row.kind][-self.keep :]
+        self.numbers[row.kind] = self.numbers.get(row.kind, 0) + 1
         return iter(())
 
     def finish(self, key):
-        recent = ",".join(str(r[0]) for r in self.recent.get())
-        counts = ",".join(f"{k}={n}" for k, n in sorted((str(k[0]), v[0]) for k, v in self.counts.iterator()))
+        recent = ",".join(str(k) for k in self.kinds)
+        counts = ",".join(f"{k}={n}" for k, n in sorted((str(k), n) for k, n in self.numbers.items()))
         if recent:
             yield Row(user_id=key[0], recent=recent, counts=counts)
 
     def clear(self):
-        self.recent.clear()
-        self.counts.clear()
+        self.kinds, self.numbers, self.ended = [], {}, True
+
+    def store(self):
+        if self.ended and self.known:
+            self.counts.clear()
+        for kind, n in self.numbers.items():
+            self.counts.updateValue((kind,), (n,))
+        if self.kinds:
+            self.recent.put([(k,) for k in self.kinds])
+        else:
+            self.recent.clear()
 
 
 class CountTrigger(InOrder):
