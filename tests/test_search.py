@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import keywords, search
 from tidemark.plans import catalog
@@ -143,3 +144,21 @@ def test_largest_products_look_into_few_boxes_and_equal_all_pairs(spark):
 def test_recommendations_need_no_product_of_all_pairs(spark):
     plan = catalog.queries()["J37_als_recommender"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_candidates_of_buckets_are_ranked_in_blocks_and_none_is_a_row(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, [float(x) for x in rng.normal(size=8)]) for k in range(400)] + [(398, [1.0] * 8), (None, [1.0] * 8)]
+    frame = search.vectors(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v")
+    keys = lambda v: [tuple(sum(x * (1 - 2 * (bin(i & m).count("1") % 2)) for i, x in enumerate(v)) > 0 for m in range(3 * t + 1, 3 * t + 4)) for t in range(2)]
+    known = [(i, v, keys(v)) for i, v in rows if i is not None]
+    want = []
+    for i, v, a in known:
+        if i % 7 == 0:
+            near = sorted((round(math.dist(v, w), 9), j) for j, w, b in known if i != j and any(x == y for x, y in zip(a, b)))
+            want += [(i, j) for _, j in near[:5]]
+    for sizes in ({}, {"block_rows": 90, "block_queries": 20}):
+        found = search.lsh_nearest(frame, frame.filter("id % 7 = 0"), 2, 3, 5, **sizes)
+        assert [(r.query_id, r.id) for r in found.orderBy("query_id", "rank").collect()] == want
+    plan = catalog.queries()["N8_lsh_search"](spark, ROOT)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan

@@ -377,19 +377,61 @@ def re_ranked(candidates: DataFrame, rows: DataFrame, queries: DataFrame, k: int
 
 
 def signed_keys(rows: DataFrame, n_tables: int, bits: int) -> DataFrame:
-    """(id, t, key): the signs of `bits` sums of the components with changing signs (rows of a Walsh matrix), by table."""
+    """(id, v, keys): by table the signs of `bits` sums of the components with changing signs (rows of a Walsh matrix)."""
 
     def positive(m):
         signed = F.transform("v", lambda x, i: x * (1 - 2 * F.pmod(F.bit_count(i.bitwiseAND(m)), F.lit(2))))
-        return (F.aggregate(signed, F.lit(0.0), lambda s, x: s + x) > 0).cast("int").cast("string")
+        return (F.aggregate(signed, F.lit(0.0), lambda s, x: s + x) > 0).cast("long")
 
-    signs = rows.select("id", F.transform(F.sequence(F.lit(1), F.lit(n_tables * bits)), positive).alias("signs"))
-    table = F.explode(F.sequence(F.lit(0), F.lit(n_tables - 1))).alias("t")
-    return signs.select("id", "signs", table).select("id", "t", F.array_join(F.slice("signs", F.col("t") * bits + 1, F.lit(bits)), "").alias("key"))
+    signs = rows.select("id", "v", F.transform(F.sequence(F.lit(1), F.lit(n_tables * bits)), positive).alias("signs"))
+    key = lambda t: F.aggregate(F.slice("signs", t * bits + 1, F.lit(bits)), F.lit(0).cast("long"), lambda s, x: s * 2 + x)
+    return signs.select("id", "v", F.transform(F.sequence(F.lit(0), F.lit(n_tables - 1)), key).alias("keys"))
 
 
-def lsh_candidates(rows: DataFrame, queries: DataFrame, n_tables: int, bits: int) -> DataFrame:
-    """(query_id, id) of the rows that share a bucket with a query in one table at least. The planner splits a bucket that
-    holds much."""
-    asked = signed_keys(queries, n_tables, bits).withColumnRenamed("id", "query_id")
-    return asked.join(signed_keys(rows, n_tables, bits), ["t", "key"]).filter("id <> query_id").select("query_id", "id").distinct()
+def candidates_in_block(k: int):
+    """For each query the nearest `k` of the rows that share a bucket with it in one table at least."""
+
+    def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        x, q = matrix(rows["v"]), matrix(queries["v"])
+        ids, asked = rows["id"].to_numpy(), queries["query_id"].to_numpy()
+        out = [[], [], []]
+        if len(x) and len(q):
+            row_keys, query_keys = matrix(rows["keys"]), matrix(queries["keys"])
+            buckets = []  # of each table: rows by key, and where those of each query's key begin and end
+            for t in range(row_keys.shape[1]):
+                order = np.argsort(row_keys[:, t], kind="stable")
+                held = row_keys[order, t]
+                buckets.append((order, np.searchsorted(held, query_keys[:, t]), np.searchsorted(held, query_keys[:, t], "right")))
+            for j in range(len(q)):
+                able = np.zeros(len(x), bool)
+                for order, begin, end in buckets:
+                    able[order[begin[j] : end[j]]] = True
+                able &= ids != asked[j]
+                able = np.flatnonzero(able)
+                exact = np.sqrt(((x[able] - q[j]) ** 2).sum(1))
+                if len(able) > k:
+                    near = exact <= np.partition(exact, k - 1)[k - 1]
+                    able, exact = able[near], exact[near]
+                best = np.lexsort((ids[able], exact))[:k]
+                out[0] += [asked[j]] * len(best)
+                out[1] += ids[able][best].tolist()
+                out[2] += exact[best].tolist()
+        return pa.table({"query_id": pa.array(out[0], pa.int64()), "id": pa.array(out[1], pa.int64()), "distance": pa.array(out[2], pa.float64())})
+
+    return run
+
+
+def lsh_nearest(
+    rows: DataFrame, queries: DataFrame, n_tables: int, bits: int, k: int, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_ROWS
+) -> DataFrame:
+    """(query_id, id, distance, rank): the nearest `k` of the rows that share a bucket with a query in one table at least.
+
+    Candidates grow with the product of rows and queries; they are ranked inside the task of their blocks and none becomes a
+    row of its own."""
+    n_rows, n_queries = (max(1, math.ceil(df.count() / size)) for df, size in ((rows, block_rows), (queries, block_queries)))
+    part = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = signed_keys(rows, n_tables, bits).select("id", "v", "keys", part(n_rows).alias("r"), every(n_queries).alias("q"))
+    asked = signed_keys(queries, n_tables, bits).select(F.col("id").alias("query_id"), "v", "keys", part(n_queries).alias("q"), every(n_rows).alias("r"))
+    found = left.groupBy("r", "q").cogroup(asked.groupBy("r", "q")).applyInArrow(candidates_in_block(k), FOUND)
+    return first_of(found, k)

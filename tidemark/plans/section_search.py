@@ -207,7 +207,7 @@ SIGNS = f"""b AS (SELECT id, v, list_transform(range(1, {TABLES * BITS + 1}), la
 def _(t):
     """Candidates that share a bucket in one of the hash tables, then the exact distance."""
     rows, queries = pool(t)
-    return shown(search.re_ranked(search.lsh_candidates(rows, queries, TABLES, BITS), rows, queries, K))
+    return shown(search.lsh_nearest(rows, queries, TABLES, BITS, K))
 
 
 @query(
