@@ -162,3 +162,19 @@ def test_candidates_of_buckets_are_ranked_in_blocks_and_none_is_a_row(spark):
         assert [(r.query_id, r.id) for r in found.orderBy("query_id", "rank").collect()] == want
     plan = catalog.queries()["N8_lsh_search"](spark, ROOT)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_an_index_reads_its_documents_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b a"), (1, "a"), (2, ""), (3, None), (None, "a b"), (4, "B c")], "id long, text string")
+    docs.write.parquet(str(tmp_path / "d"))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        seen.add(1)
+        return text
+
+    index = keywords.InvertedIndex.build(spark.read.parquet(str(tmp_path / "d")).withColumn("text", noted("text")), "id", "text")
+    assert seen.value <= 6 and (index.n_docs, index.mean_words) == (5, 6 / 5)
+    got = sorted((r.term, r.id, r.tf, r.n_words, r.part) for r in index.postings.collect())
+    assert got == [("a", 1, 1, 1, 0), ("a", 1, 2, 3, 0), ("b", 1, 1, 3, 0), ("b", 4, 1, 2, 0), ("c", 4, 1, 2, 0)]
