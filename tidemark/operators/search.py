@@ -383,9 +383,9 @@ def signed_keys(rows: DataFrame, n_tables: int, bits: int) -> DataFrame:
         signed = F.transform("v", lambda x, i: x * (1 - 2 * F.pmod(F.bit_count(i.bitwiseAND(m)), F.lit(2))))
         return (F.aggregate(signed, F.lit(0.0), lambda s, x: s + x) > 0).cast("long")
 
-    signs = rows.select("id", "v", F.transform(F.sequence(F.lit(1), F.lit(n_tables * bits)), positive).alias("signs"))
-    key = lambda t: F.aggregate(F.slice("signs", t * bits + 1, F.lit(bits)), F.lit(0).cast("long"), lambda s, x: s * 2 + x)
-    return signs.select("id", "v", F.transform(F.sequence(F.lit(0), F.lit(n_tables - 1)), key).alias("keys"))
+    # Each sign is made where it is used: a column of signs would be made again for every table.
+    key = lambda t: F.aggregate(F.sequence(t * bits + 1, t * bits + bits), F.lit(0).cast("long"), lambda s, m: s * 2 + positive(m))
+    return rows.select("id", "v", F.transform(F.sequence(F.lit(0), F.lit(n_tables - 1)), key).alias("keys"))
 
 
 def candidates_in_block(k: int):
